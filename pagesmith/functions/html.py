@@ -193,6 +193,18 @@ def attribute(element: Column, name: str) -> Column:
     return bind(F.regexp_extract(opening, pattern, 1), unquote)
 
 
+def closest_link(html: Column, cls: str) -> Column:
+    """href of the nearest link that is, or encloses, the first element of a class; NULL if none."""
+    start = _start_tag(None, cls)
+    itself = F.regexp_extract(html, start, 0)
+    before = F.regexp_extract(html, rf"(?is)^((?:(?!{start}).)*){start}", 1)
+    around = F.regexp_extract(before, r"(?is)^.*(<a\s[^>]*>)(?!.*</a\s*>)", 1)
+    return bind(
+        F.when(itself.rlike(r"(?i)^<a\s"), itself).otherwise(around),
+        lambda tag: F.when(tag != "", attribute(tag, "href")),
+    )
+
+
 def text_content(element: Column) -> Column:
     """Concatenated text of an element, tags removed and character references decoded."""
     return decode_entities(F.regexp_replace(element, r"<[^>]*>", ""))
