@@ -76,11 +76,12 @@ def tokens_by_model(runs: DataFrame) -> DataFrame:
     )
 
 
-def listings_of_run(listings: DataFrame, scrape_id: int, schema: T.StructType | None = None) -> DataFrame:
-    """Stored JSON records of one run, parsed back (as a map when no schema is given)."""
+def listings_of_run(listings: DataFrame, scrape_id: int | None = None,
+                    schema: T.StructType | None = None) -> DataFrame:
+    """Stored JSON records of one run (or of all runs), parsed back; a map when no schema is given."""
     record = schema or T.MapType(T.StringType(), T.StringType())
-    parsed = F.from_json("data", record).alias("record")
-    return listings.where(F.col("scrape_id") == scrape_id).select("scrape_id", parsed)
+    rows = listings if scrape_id is None else listings.where(F.col("scrape_id") == scrape_id)
+    return rows.select("scrape_id", F.from_json("data", record).alias("record"))
 
 
 def run_stats(products: DataFrame, group: str = "store") -> DataFrame:

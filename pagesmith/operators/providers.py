@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tokens import TokenCounter, count_tokens
 
@@ -45,7 +46,7 @@ def pair_rule_reply(text: Column, fields: Sequence[str]) -> Column:
 
     found = {f: value(f) for f in fields}
     some = F.coalesce(*found.values()).isNotNull()
-    rows = F.when(some, F.array(_record(found))).otherwise(F.filter(F.array(_record(found)), lambda _: F.lit(False)))
+    rows = F.filter(F.array(_record(found)), lambda _: some)
     return F.to_json(F.struct(rows.alias("listings")))
 
 
@@ -67,12 +68,10 @@ def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2) -> D
 
     A call that still raises after its retries yields a row with ``error`` set, so that one failing
     chunk never stops the others. Checkpoint the result before using it twice."""
-    schema = prompts.schema
-    for name, kind in (
-        ("reply", "string"), ("input_tokens", "bigint"), ("output_tokens", "bigint"),
-        ("error", "string"),
-    ):
-        schema = schema.add(name, kind)
+    added = [("reply", T.StringType()), ("input_tokens", T.LongType()),
+             ("output_tokens", T.LongType()), ("error", T.StringType())]
+    names = [name for name, _ in added]
+    schema = T.StructType(prompts.schema.fields + [T.StructField(n, t) for n, t in added])
 
     def ask(prompt: str) -> tuple[str | None, int, int, str | None]:
         problem = ""
@@ -84,7 +83,6 @@ def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2) -> D
         return None, 0, 0, problem
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["reply", "input_tokens", "output_tokens", "error"]
         for batch in batches:
             answers = [ask(p) for p in batch["prompt"]]
             yield batch.assign(**{n: [a[i] for a in answers] for i, n in enumerate(names)})

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: how many chunks a question gets when the caller does not say.
 TOP_K = 4
@@ -55,7 +56,8 @@ def dense(sparse: DataFrame, key: str, dims: int = 64) -> DataFrame:
 def embed_with(chunks: DataFrame, provider: Callable[[list[str]], Sequence[Sequence[float]]],
                batch_size: int = 64) -> DataFrame:
     """Adds ``embedding`` by calling a batch embedding function over all partitions in parallel."""
-    schema = chunks.schema.add("embedding", "array<double>")
+    vector = T.StructField("embedding", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*chunks.schema.fields, vector])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

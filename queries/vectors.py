@@ -1,2 +1,110 @@
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+"""Page concatenation, embeddings, nearest chunks and answer prompts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pagesmith.functions.replies import ANSWER_PROMPT
+from pagesmith.functions.replies import build_answer_prompt
+from pagesmith.operators import vectors as V
+from pagesmith.plans import answer as A
+
+from .common import quote, table
+
+
+def concat_pages(spark, sf):
+    joined = V.concat_pages(table(spark, sf, "conversations"), "conv_id", "turn")
+    return joined.select("conv_id", "part", "text")
+
+
+def embed_chunks(spark, sf):
+    rows = V.hashed_words(table(spark, sf, "documents"), "doc_id")
+    return rows.select("doc_id", "dim", F.round("weight", 9).alias("weight"))
+
+
+def _length_vectors(texts: list[str]) -> list[list[float]]:
+    return [[float(len(t)), float(t.count(" ")), float(t.count("\n"))] for t in texts]
+
+
+def embed_provider(spark, sf):
+    """A Python embedding function called batch by batch over all partitions."""
+    out = V.embed_with(table(spark, sf, "documents").select("doc_id", "text"), _length_vectors)
+    return out.select("doc_id", *[F.col("embedding")[i].alias(f"d{i}") for i in range(3)])
+
+
+def _centroids(vectors):
+    """One question per label: the mean vector of the label."""
+    cells = vectors.select("label", F.posexplode("embedding").alias("i", "x"))
+    means = cells.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
+    whole = means.groupBy("label").agg(F.transform(ordered, lambda c: c["x"]).alias("embedding"))
+    return whole.select(F.col("label").alias("question_id"), "embedding")
+
+
+def vector_topk(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    hits = V.vector_topk(vectors, _centroids(vectors), k=10)
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
+def _benchmark_questions(spark, sf):
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
+
+
+def _document_vectors(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    return docs, V.dense(V.hashed_words(docs, "vec_id"), "vec_id")
+
+
+def stuff_context(spark, sf):
+    """Whole documents as chunks: the four nearest to each benchmark text, as a filled prompt."""
+    docs, vectors = _document_vectors(spark, sf)
+    questions = _benchmark_questions(spark, sf)
+    asked = V.dense(V.hashed_words(questions, "question_id", "question"), "question_id")
+    context = V.stuff_context(V.vector_topk(vectors, asked), docs)
+    prompt = build_answer_prompt(F.col("context"), F.col("question"))
+    return context.join(questions, "question_id").select("question_id", F.md5(prompt).alias("prompt_md5"))
+
+
+def answer_documents(spark, sf):
+    """The whole answer job with default chunking."""
+    index = A.index_documents(table(spark, sf, "documents"))
+    return A.answer_prompts(index, _benchmark_questions(spark, sf))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (concat_pages, embed_chunks, embed_provider, vector_topk, stuff_context, answer_documents)
+}
+
+def _hashed_sql(name: str, source: str, key: str) -> str:
+    return f"""{name}_w AS (SELECT {key} AS k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM {source}),
+{name}_h AS (SELECT k, substr(md5(w), 1, 3) AS h FROM {name}_w),
+{name}_d AS (SELECT k, ((instr('0123456789abcdef', h[1]) - 1) * 256 + (instr('0123456789abcdef', h[2]) - 1) * 16
+                + instr('0123456789abcdef', h[3]) - 1) % 64 AS dim, count(*) AS n FROM {name}_h GROUP BY ALL),
+{name} AS (SELECT k, dim, n / sqrt(sum(n * n) OVER (PARTITION BY k)) AS weight FROM {name}_d)"""
+
+
+ORACLE = {
+    "concat_pages": """
+SELECT conv_id, turn // 256 AS part, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1, 2""",
+    "embed_chunks": f"""
+WITH {_hashed_sql('v', 'documents', 'doc_id')} SELECT k AS doc_id, dim, round(weight, 9) AS weight FROM v""",
+    "embed_provider": """
+SELECT doc_id, length(text) AS d0, len(string_split(text, ' ')) - 1 AS d1, len(string_split(text, chr(10))) - 1 AS d2 FROM documents""",
+    "vector_topk": """
+WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings),
+c AS (SELECT label AS question_id, i, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY 1, 2),
+d AS (SELECT question_id, vec_id, sum((CAST(v AS DOUBLE) - m) * (CAST(v AS DOUBLE) - m)) AS distance FROM x JOIN c USING (i) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(distance, 9), vec_id) AS rank FROM d)
+SELECT question_id, rank, vec_id, round(distance, 6) AS distance FROM r WHERE rank <= 10""",
+    "stuff_context": f"""
+WITH {_hashed_sql('v', 'documents', 'doc_id')}, {_hashed_sql('q', 'benchmark', 'item_id')},
+dot AS (SELECT q.k AS question_id, v.k AS vec_id, sum(q.weight * v.weight) AS s FROM q JOIN v USING (dim) GROUP BY 1, 2),
+pairs AS (SELECT a.k AS question_id, b.k AS vec_id FROM (SELECT DISTINCT k FROM q) a, (SELECT DISTINCT k FROM v) b),
+r AS (SELECT pairs.*, row_number() OVER (PARTITION BY question_id ORDER BY round(2 - 2 * coalesce(s, 0), 9), vec_id) AS rank
+      FROM pairs LEFT JOIN dot USING (question_id, vec_id)),
+c AS (SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM r JOIN documents ON doc_id = vec_id WHERE rank <= 4 GROUP BY 1)
+SELECT question_id, md5({quote(ANSWER_PROMPT)} || context || chr(10) || chr(10) || 'Question:' || chr(10) || text) AS prompt_md5
+FROM c JOIN benchmark ON item_id = question_id""",
+}
