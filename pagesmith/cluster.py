@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,21 +24,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later steps read it back instead of repeating the work, and a lost
-    executor does not repeat it either."""
-    sc = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write a table in the shared folder and go on from it.
 
+    Later steps read back just the columns they need instead of repeating the work, and a lost
+    executor repeats nothing either."""
+    folder = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than cores (few, small files).
 
-    Real inputs have many more splits than cores and pass through untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work on a scan with fewer splits than cores (a few small
+    files). Large inputs have many splits and pass through untouched, without a shuffle.
+
+    For plain scans only: behind a shuffle, adaptive execution sizes the partitions itself."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def explode_array(rows: DataFrame, kept: Sequence[str | Column], array: Column, item: str,
+                  position: str = "position") -> DataFrame:
+    """One row per array element with its position, arrays evaluated once.
+
+    A plain ``posexplode`` makes the optimizer add a ``size(array) > 0`` filter below it, which
+    evaluates a computed array a second time; the outer form with a filter above does not."""
+    out = rows.select(*kept, F.posexplode_outer(array).alias(position, item))
+    return out.where(F.col(position).isNotNull())
 
 
 def salted_lookup(facts: DataFrame, records: DataFrame, key: str, how: str = "left",

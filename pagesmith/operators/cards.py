@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import explode_array
 from ..functions import html as H
 from ..functions.text import (
     MISSING_ATTR, MISSING_COUNT, MISSING_TEXT, default_fill, price_value, stats_extract, strip_ws,
@@ -89,7 +90,7 @@ def split_cards(pages: DataFrame, spec: CardSpec) -> DataFrame:
     """One row per card with the page's other columns; ``position`` counts from 0. No shuffle."""
     cards = H.find_elements(H.strip_inert(F.col("html")), spec.tag, spec.cls)
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(*kept, F.posexplode(cards).alias("position", "card"))
+    return explode_array(pages, kept, cards, "card")
 
 
 def read_fields(cards: DataFrame, spec: CardSpec) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import explode_array
 from ..functions import replies as R
 from ..functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE, chunk_text
 
@@ -17,7 +18,8 @@ def chunk_rows(texts: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
     """One row per chunk of the ``text`` column; the other columns are kept."""
     others = [c for c in texts.columns if c != "text"]
     cut = texts.withColumn("_chunks", chunk_text(F.col("text"), size, overlap))
-    return cut.select(*others, F.inline("_chunks"))
+    rows = explode_array(cut, others, F.col("_chunks"), "_chunk", "_at")
+    return rows.select(*others, "_chunk.chunk_idx", "_chunk.text")
 
 
 def build_prompts(chunks: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -62,7 +64,8 @@ def fill_listings(parsed: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def flatten_listings(parsed: DataFrame, fields: Sequence[str]) -> DataFrame:
     """All chunks' records as rows, in ``(chunk_idx, pos)`` order."""
-    rows = parsed.select("scrape_id", "chunk_idx", F.posexplode("listings").alias("pos", "record"))
+    kept = ["scrape_id", "chunk_idx"]
+    rows = explode_array(parsed, kept, F.col("listings"), "record", "pos")
     values = [F.col("record").getField(f).alias(f) for f in fields]
     return rows.select("scrape_id", "chunk_idx", "pos", *values)
 

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import explode_array
 from ..functions import html as H
 from ..functions.text import preview, strip_ws
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Every link with a non-empty href, duplicates kept, ``position`` in page order."""
-    rows = pages.select("page_id", "url", F.posexplode(H.links(F.col("html"))).alias("position", "l"))
+    rows = explode_array(pages, ["page_id", "url"], H.links(F.col("html")), "l")
     return rows.select(
         "page_id", "url", "position", F.col("l.name").alias("name"), F.col("l.url").alias("href")
     )
@@ -33,7 +34,7 @@ def _finder(tag: str | None, cls: str | None):
 def container_links(pages: DataFrame, path: Sequence[tuple[str | None, str | None]]) -> DataFrame:
     """Name and href of the links below nested containers, e.g. ``nav > ul > li``."""
     found = F.flatten(F.transform(_descend(F.col("html"), path), H.links))
-    rows = pages.select("page_id", "url", F.posexplode(found).alias("position", "l"))
+    rows = explode_array(pages, ["page_id", "url"], found, "l")
     return rows.select(
         "page_id", "url", "position", F.col("l.name").alias("name"), F.col("l.url").alias("href")
     )
@@ -74,14 +75,12 @@ def table_rows(pages: DataFrame, element_id: str) -> tuple[DataFrame, DataFrame,
         H.find_element(H.strip_inert(F.col("html")), "table", element_id=element_id).alias("tab"),
     )
     missing = found.where(F.col("tab").isNull()).select("page_id", "url")
+    headers = texts(H.find_elements(F.col("tab"), "th")).alias("headers")
+    found_rows = explode_array(
+        found, ["page_id", headers], H.find_elements(F.col("tab"), "tr"), "tr", "row_idx"
+    )
     rows = (
-        found.where(F.col("tab").isNotNull())
-        .select(
-            "page_id",
-            texts(H.find_elements(F.col("tab"), "th")).alias("headers"),
-            F.posexplode(H.find_elements(F.col("tab"), "tr")).alias("row_idx", "tr"),
-        )
-        .where(F.col("row_idx") > 0)
+        found_rows.where(F.col("row_idx") > 0)
         .select(
             "page_id", "headers", "row_idx",
             texts(H.find_elements(F.col("tr"), "td")).alias("cells"),

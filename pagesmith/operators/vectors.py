@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import explode_array
+
 # Fixed value: how many chunks a question gets when the caller does not say.
 TOP_K = 4
 # Up to this many questions are sent to all tasks at once; beyond it both sides are cut in blocks.
@@ -30,10 +32,10 @@ def hashed_words(texts: DataFrame, key: str, text: str = "text", dims: int = 64)
 
     A word's dimension comes from its MD5. Words are counted per (text, dimension) before the
     shuffle; the only per-text group afterwards is at most ``dims`` rows."""
-    words = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[a-z0-9]+"), F.lit(0)))
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[a-z0-9]+"), F.lit(0))
     code = F.conv(F.substring(F.md5("word"), 1, 3), 16, 10).cast("int")
     counts = (
-        texts.select(key, words.alias("word"))
+        explode_array(texts, [key], words, "word")
         .groupBy(key, (code % dims).alias("dim"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage, spread
+from ..cluster import cut_lineage
 from ..functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE
 from ..functions.html import to_markdown
 from ..functions.text import strip_urls
@@ -49,9 +49,7 @@ def page_markdown(pages: DataFrame, options: Options = Options()) -> DataFrame:
         text = strip_urls(text)
     if options.max_tokens is not None:
         text = trim_to_tokens(text, options.max_tokens)
-    return spread(pages.select("page_id", "html")).select(
-        F.col("page_id").alias("scrape_id"), text.alias("text")
-    )
+    return pages.select(F.col("page_id").alias("scrape_id"), text.alias("text"))
 
 
 def page_prompts(pages: DataFrame, fields: Sequence[str], options: Options = Options()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import salted_lookup, spread
+from ..cluster import salted_lookup
 from ..operators.cards import DEAL_ATTR_CARD, CardSpec, deal_cards
 from ..functions.urls import url_page_number
 from ..sources.frontier import store_page_urls
@@ -20,7 +20,7 @@ def harvest_store_deals(stores: DataFrame, pages: DataFrame, base: str,
     frontier = store_page_urls(stores, base).select("store", "page_number", "url")
     good, failed = split_by_status(pages)
     hit = salted_lookup(frontier, good.select("page_id", "url", "html"), "url")
-    products = deal_cards(spread(hit.where(F.col("page_id").isNotNull())), spec)
+    products = deal_cards(hit.where(F.col("page_id").isNotNull()), spec)
     labelled = products.withColumn("page_number", url_page_number(F.col("url")))
     missing = hit.where(F.col("page_id").isNull()).select("url")
     reasons = failed.select("url", "reason").dropDuplicates(["url"])

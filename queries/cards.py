@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagesmith.cluster import spread
 from pagesmith.operators import cards as C
 from pagesmith.operators import enrich as E
 from pagesmith.operators.page_rows import pagination_count as last_page
@@ -19,15 +18,15 @@ from .common import (
 
 
 def deal_cards(spark, sf):
-    return C.deal_cards(spread(deal_pages(spark, sf))).drop("url")
+    return C.deal_cards(deal_pages(spark, sf)).drop("url")
 
 
 def deal_cards_search(spark, sf):
-    return C.deal_cards(spread(deal_pages(spark, sf)), C.DEAL_SEARCH_CARD).drop("url")
+    return C.deal_cards(deal_pages(spark, sf), C.DEAL_SEARCH_CARD).drop("url")
 
 
 def bad_rows(spark, sf):
-    cards = C.extract_cards(spread(deal_pages(spark, sf)), C.DEAL_CARD)
+    cards = C.extract_cards(deal_pages(spark, sf), C.DEAL_CARD)
     return C.split_bad_cards(cards, C.DEAL_CARD, "current_price")[1]
 
 
@@ -47,7 +46,7 @@ def attr_deal_pages(spark, sf):
 
 
 def deal_cards_attr(spark, sf):
-    return C.deal_cards_attr(spread(attr_deal_pages(spark, sf))).drop("url")
+    return C.deal_cards_attr(attr_deal_pages(spark, sf)).drop("url")
 
 
 def asset_cards(spark, sf):
@@ -60,7 +59,7 @@ def asset_cards(spark, sf):
         lit("</div>"),
     )
     pages = pages_of_cards(table(spark, sf, "part"), "p_partkey", card, F.concat(lit(f"{BASE}/assets/"), "page_id"))
-    return C.deal_cards(spread(pages), C.ASSET_CARD).drop("url")
+    return C.deal_cards(pages, C.ASSET_CARD).drop("url")
 
 
 def job_cards(spark, sf):
@@ -74,7 +73,7 @@ def job_cards(spark, sf):
         lit("</li>"),
     )
     pages = pages_of_cards(table(spark, sf, "customer"), "c_custkey", card, F.concat(lit(f"{BASE}/jobs/"), "page_id"))
-    return C.deal_cards(spread(pages), C.JOB_CARD).drop("url")
+    return C.deal_cards(pages, C.JOB_CARD).drop("url")
 
 
 def project_pages(spark, sf):
@@ -104,17 +103,17 @@ def _flat_projects(projects):
 
 
 def project_cards(spark, sf):
-    return _flat_projects(C.project_cards(spread(project_pages(spark, sf))))
+    return _flat_projects(C.project_cards(project_pages(spark, sf)))
 
 
 def enrich_featured(spark, sf):
-    projects = C.project_cards(spread(project_pages(spark, sf)))
+    projects = C.project_cards(project_pages(spark, sf))
     done = E.enrich_featured(projects, table(spark, sf, "pages"))
     return done.select("page_id", "position", "title", "url", "detailed_content")
 
 
 def sample_head(spark, sf):
-    projects = _flat_projects(C.project_cards(spread(project_pages(spark, sf))))
+    projects = _flat_projects(C.project_cards(project_pages(spark, sf)))
     return E.sample_head(projects, ["page_id", "position"]).select("number", "title", "author", "url")
 
 
@@ -129,11 +128,11 @@ def pagination_count(spark, sf):
 
 
 def take_target(spark, sf):
-    return C.take_target(C.deal_cards(spread(deal_pages(spark, sf))), 7).select("page_id", "position", "product_name")
+    return C.take_target(C.deal_cards(deal_pages(spark, sf)), 7).select("page_id", "position", "product_name")
 
 
 def target_shortfall(spark, sf):
-    cards = C.split_cards(spread(deal_pages(spark, sf)), C.DEAL_CARD)
+    cards = C.split_cards(deal_pages(spark, sf), C.DEAL_CARD)
     return C.target_shortfall(cards, 25)
 
 

@@ -68,8 +68,12 @@ def build_prompts(spark, sf):
 # --- extraction over pages -----------------------------------------------------------------------
 
 
+def _pages(spark, sf):
+    return spread(table(spark, sf, "pages").select("page_id", "html"))
+
+
 def extract_listings(spark, sf):
-    text = X.page_markdown(table(spark, sf, "pages")).withColumn("chunk_idx", F.lit(0))
+    text = X.page_markdown(_pages(spark, sf)).withColumn("chunk_idx", F.lit(0))
     replies = V.rule_replies(L.build_prompts(text, FIELDS), FIELDS)
     return replies.select("scrape_id", F.md5("reply").alias("reply_md5"), "input_tokens", "output_tokens")
 
@@ -82,7 +86,7 @@ def _python_links(prompt: str) -> tuple[str, int, int]:
 
 def provider_listings(spark, sf):
     """The same links found by a Python provider that is called for every chunk in parallel."""
-    text = X.page_markdown(table(spark, sf, "pages")).withColumn("chunk_idx", F.lit(0))
+    text = X.page_markdown(_pages(spark, sf)).withColumn("chunk_idx", F.lit(0))
     replies = V.call_provider(L.build_prompts(text, FIELDS), _python_links)
     parsed = L.fill_listings(L.parse_replies(replies, FIELDS), FIELDS)
     return L.flatten_listings(parsed, FIELDS)
@@ -90,14 +94,14 @@ def provider_listings(spark, sf):
 
 def extract_run(spark, sf):
     """Flagship: default chunk sizes, all steps, one response row per page."""
-    result = X.extract_pages(table(spark, sf, "pages"), FIELDS, MODEL, P.pricing_table(spark))
+    result = X.extract_pages(_pages(spark, sf), FIELDS, MODEL, P.pricing_table(spark))
     return _flat_response(X.response_records(result, FIELDS))
 
 
 def response_record(spark, sf):
     """As :func:`extract_run` with chunks larger than any page, which SQL can follow."""
     options = X.Options(chunk_size=10_000_000)
-    result = X.extract_pages(table(spark, sf, "pages"), FIELDS, MODEL, P.pricing_table(spark), options=options)
+    result = X.extract_pages(_pages(spark, sf), FIELDS, MODEL, P.pricing_table(spark), options=options)
     return _flat_response(X.response_records(result, FIELDS))
 
 

@@ -12,38 +12,41 @@ from .common import BASE, _INERT, escaped, quote, rx, sql_clean, sql_decode, sql
 from .scans import NAV_PATH
 
 
+def _pages(spark, sf):
+    return spread(table(spark, sf, "pages"))
+
+
 def clean_html(spark, sf):
     cleaned = H.clean_html(F.col("html"))
-    return table(spark, sf, "pages").select("page_id", F.md5(cleaned).alias("html_md5"))
+    return _pages(spark, sf).select("page_id", F.md5(cleaned).alias("html_md5"))
 
 
 def html_to_markdown(spark, sf):
-    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
-    return pages.select("page_id", H.to_markdown(F.col("html")).alias("markdown"))
+    return _pages(spark, sf).select("page_id", H.to_markdown(F.col("html")).alias("markdown"))
 
 
 def extract_links(spark, sf):
-    return P.page_links(table(spark, sf, "pages")).select("page_id", "position", "href")
+    return P.page_links(_pages(spark, sf)).select("page_id", "position", "href")
 
 
 def page_title(spark, sf):
-    return table(spark, sf, "pages").select("page_id", H.page_title(F.col("html")).alias("title"))
+    return _pages(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
 
 
 def container_links(spark, sf):
-    return P.container_links(table(spark, sf, "pages"), NAV_PATH).drop("url")
+    return P.container_links(_pages(spark, sf), NAV_PATH).drop("url")
 
 
 def sorted_names(spark, sf):
-    return P.sorted_names(P.container_links(table(spark, sf, "pages"), NAV_PATH))
+    return P.sorted_names(P.container_links(_pages(spark, sf), NAV_PATH))
 
 
 def select_classes(spark, sf):
-    return table(spark, sf, "pages").select("page_id", P.class_text(F.col("html"), ["ad"]).alias("text"))
+    return _pages(spark, sf).select("page_id", P.class_text(F.col("html"), ["ad"]).alias("text"))
 
 
 def page_text(spark, sf):
-    return P.page_text_preview(table(spark, sf, "pages")).drop("url")
+    return P.page_text_preview(_pages(spark, sf)).drop("url")
 
 
 # One table page per block of 25 customers. Some rows lack a cell, some have none; a page whose

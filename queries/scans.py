@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pagesmith.cluster import shared_folder
+from pagesmith.cluster import shared_folder, spread
 from pagesmith.operators.page_rows import container_links
 from pagesmith.operators.pricing import pricing_table
 from pagesmith.operators.runs import write_texts
@@ -76,7 +76,7 @@ def frontier_refresh(spark, sf):
 
 
 def link_frontier(spark, sf):
-    return frontier.link_frontier(container_links(table(spark, sf, "pages"), NAV_PATH))
+    return frontier.link_frontier(container_links(spread(table(spark, sf, "pages")), NAV_PATH))
 
 
 def extraction_requests(spark, sf):

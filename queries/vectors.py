@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagesmith.cluster import spread
 from pagesmith.functions.replies import ANSWER_PROMPT
 from pagesmith.functions.replies import build_answer_prompt
 from pagesmith.operators import vectors as V
@@ -17,8 +18,12 @@ def concat_pages(spark, sf):
     return joined.select("conv_id", "part", "text")
 
 
+def _documents(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def embed_chunks(spark, sf):
-    rows = V.hashed_words(table(spark, sf, "documents"), "doc_id")
+    rows = V.hashed_words(_documents(spark, sf), "doc_id")
     return rows.select("doc_id", "dim", F.round("weight", 9).alias("weight"))
 
 
@@ -28,7 +33,7 @@ def _length_vectors(texts: list[str]) -> list[list[float]]:
 
 def embed_provider(spark, sf):
     """A Python embedding function called batch by batch over all partitions."""
-    out = V.embed_with(table(spark, sf, "documents").select("doc_id", "text"), _length_vectors)
+    out = V.embed_with(_documents(spark, sf), _length_vectors)
     return out.select("doc_id", *[F.col("embedding")[i].alias(f"d{i}") for i in range(3)])
 
 
@@ -52,7 +57,7 @@ def _benchmark_questions(spark, sf):
 
 
 def _document_vectors(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    docs = _documents(spark, sf).withColumnRenamed("doc_id", "vec_id")
     return docs, V.dense(V.hashed_words(docs, "vec_id"), "vec_id")
 
 
@@ -68,7 +73,7 @@ def stuff_context(spark, sf):
 
 def answer_documents(spark, sf):
     """The whole answer job with default chunking."""
-    index = A.index_documents(table(spark, sf, "documents"))
+    index = A.index_documents(_documents(spark, sf))
     return A.answer_prompts(index, _benchmark_questions(spark, sf))
 
 
