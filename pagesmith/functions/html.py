@@ -3,22 +3,25 @@
 All of it is built from Spark's regular-expression and array functions. Elements whose body holds
 another element of the same name are closed by counting depth over the page's tags, so nesting is
 handled exactly; the common, un-nested case is a single regular expression.
+
+The bodies are written as Spark SQL text (functions named ``_sql_*`` take and return SQL text) and
+applied to a column by :func:`bind`, which evaluates its input once per row. Composing text keeps
+query construction fast; every lambda variable has a name of its own, so nothing is captured.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import partial, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip_ws
+from .text import WHITESPACE
 
-# Named character references that are decoded ("amp" comes last, see decode_entities).
+# Named character references that are decoded.
 NAMED_ENTITIES = {
-    "nbsp": "\xa0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®",
+    "amp": "&", "nbsp": "\xa0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®",
     "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "mdash": "—", "ndash": "–",
     "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
     "euro": "€", "pound": "£", "times": "×",
@@ -27,37 +30,55 @@ NAMED_ENTITIES = {
 VOID_TAGS = ("img", "br", "hr", "input", "meta", "link", "source", "area", "base", "col", "wbr")
 
 _ANY_TAG = r"[A-Za-z][A-Za-z0-9-]*"
+_TAG_END = r"[\s/>])"
+# Fixed value: the elements that start a new block of text.
+_BLOCKS = (
+    "p|div|article|section|main|nav|aside|ul|ol|dl|table|tbody|thead|form|figure|address|body|html"
+)
+
 
+def _lit(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _chain(text: Column, steps: list[tuple[str, str]]) -> Column:
-    return reduce(lambda col, step: F.regexp_replace(col, step[0], step[1]), steps, text)
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for "body, where name = value": the value is evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once per row however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+def bind(value: Column, body: Callable[[str], str]) -> Column:
+    """``body`` (SQL text over a variable) applied to a column that is evaluated once per row."""
+    run = F.call_function("transform", F.array(value), F.expr(f"v -> {body('v')}"))
+    return F.get(run, F.lit(0))
+
+
+def _replace_all(text: str, steps: list[tuple[str, str]]) -> str:
+    for pattern, to in steps:
+        text = f"regexp_replace({text}, {_lit(pattern)}, {_lit(to)})"
+    return text
 
 
 # --- subtree removal ---------------------------------------------------------------------------
 
 
+def _sql_drop(html: str, *tags: str) -> str:
+    names = "|".join(tags)
+    opening = _lit(rf"(?i)<(?:{names})\b")
+    innermost = [(rf"(?is)<({names})\b[^>]*>(?:(?!<\1\b).)*?</\1\s*>", "")]
+    rounds = f"sequence(1, regexp_count(dr, {opening}))"
+    passes = f"aggregate({rounds}, dr, (dacc, dn) -> {_replace_all('dacc', innermost)})"
+    return _let(
+        _replace_all(html, innermost), "dr", f"CASE WHEN dr RLIKE {opening} THEN {passes} ELSE dr END"
+    )
+
+
 def drop_elements(html: Column, *tags: str) -> Column:
     """Remove every element with one of the given names, contents included.
 
     One pass removes all innermost elements, which is everything on an un-nested page. Pages that
     still show an opening tag get one more pass per opening tag, enough for any nesting depth."""
-    names = "|".join(tags)
-    opening = rf"(?i)<(?:{names})\b"
-    innermost = rf"(?is)<({names})\b[^>]*>(?:(?!<\1\b).)*?</\1\s*>"
-
-    def passes(page: Column) -> Column:
-        rounds = F.sequence(F.lit(1), F.regexp_count(page, F.lit(opening)))
-        return F.aggregate(rounds, page, lambda acc, _: F.regexp_replace(acc, innermost, ""))
-
-    return bind(
-        F.regexp_replace(html, innermost, ""),
-        lambda page: F.when(page.rlike(opening), passes(page)).otherwise(page),
-    )
+    return bind(html, lambda v: _sql_drop(v, *tags))
 
 
 def clean_html(html: Column) -> Column:
@@ -65,47 +86,42 @@ def clean_html(html: Column) -> Column:
     return drop_elements(html, "header", "footer")
 
 
+def _sql_inert(html: str, *more: str) -> str:
+    names = "|".join(("script", "style", *more))
+    return _replace_all(html, [(rf"(?is)<!--.*?-->|<({names})\b[^>]*>.*?</\1\s*>", "")])
+
+
 def strip_inert(html: Column, *more: str) -> Column:
     """Remove what a parser never reports as elements (comments, script and style bodies) and,
     on request, ``more`` elements that cannot nest, such as ``head``."""
-    names = "|".join(("script", "style", *more))
-    return F.regexp_replace(html, rf"(?is)<!--.*?-->|<({names})\b[^>]*>.*?</\1\s*>", "")
+    return bind(html, lambda v: _sql_inert(v, *more))
 
 
 # --- character references ----------------------------------------------------------------------
 
 
-def _numeric_refs(text: Column) -> Column:
-    def decoded(piece: Column) -> Column:
-        hexed = F.regexp_extract(piece, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        digits = F.regexp_extract(piece, r"^([0-9]{1,7});", 1)
-        code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(digits).try_cast("bigint")
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        safe = F.when(valid, code).otherwise(F.lit(0xFFFD).cast("bigint"))
-        char = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
-        return F.concat(char, F.regexp_replace(piece, r"^[0-9a-fA-FxX]+;", ""))
-
-    def one(piece: Column, i: Column) -> Column:
-        is_ref = piece.rlike(r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});")
-        kept = F.concat(F.lit("&#"), piece)
-        return F.when(i == 0, piece).when(is_ref, decoded(piece)).otherwise(kept)
+def _sql_char(code: str) -> str:
+    """Character of a code point; the replacement character where no such character exists."""
+    valid = "cc BETWEEN 1 AND 1114111 AND cc NOT BETWEEN 55296 AND 57343"
+    char = f"decode(unhex(lpad(hex(if({valid}, cc, 65533L)), 8, '0')), 'UTF-32')"
+    return _let(code, "cc", char)
 
-    return F.array_join(F.transform(F.split(text, "&#"), one), "")
 
-
-def _named_refs(text: Column) -> Column:
-    for name, char in NAMED_ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+def _sql_decode(text: str) -> str:
+    pairs = ", ".join(_lit(x) for pair in NAMED_ENTITIES.items() for x in pair)
+    name = _lit(r"^([A-Za-z]{2,8}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});")
+    digits = "if(cn RLIKE '^#[xX]', conv(substring(cn, 3), 16, 10), substring(cn, 2))"
+    numeric = _sql_char(f"try_cast({digits} AS BIGINT)")
+    char = f"CASE WHEN startswith(cn, '#') THEN {numeric} ELSE try_element_at(map({pairs}), cn) END"
+    done = f"coalesce(concat({char}, substring(cp, length(cn) + 2)), concat('&', cp))"
+    one = _let(f"regexp_extract(cp, {name}, 1)", "cn", done)
+    pieces = f"transform(split({text}, '&'), (cp, ci) -> CASE WHEN ci = 0 THEN cp ELSE {one} END)"
+    return f"array_join({pieces}, '')"
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references -> characters; ``&amp;`` last, so ``&amp;lt;`` gives ``&lt;``."""
-    some = r"&(?!amp;)[A-Za-z#]"
-    rest = bind(
-        text, lambda t: F.when(t.rlike(some), _named_refs(_numeric_refs(t))).otherwise(t)
-    )
-    return F.replace(rest, F.lit("&amp;"), F.lit("&"))
+    """Character references -> characters, in one pass, so ``&amp;lt;`` gives ``&lt;``."""
+    return bind(text, _sql_decode)
 
 
 # --- element lookup ----------------------------------------------------------------------------
@@ -129,38 +145,29 @@ def _start_tag(tag: str | None, cls: str | None = None, attr: str | None = None,
     return rf"(?is)<{name}(?=[\s/>]){tests}[^>]*>"
 
 
-def _close_by_depth(rest: Column, tag: Column) -> Column:
-    """``rest`` starts with an opening ``tag``; return the text up to its own closing tag."""
-    boundary = F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"[\s/>])"))
-    pieces = F.split(rest, boundary)
-    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
-        closed = acc["closed"] | (depth == 0)
-        return F.struct(
-            depth.alias("depth"),
-            (acc["taken"] + F.when(closed, 0).otherwise(1)).alias("taken"),
-            closed.alias("closed"),
-        )
-
-    taken = F.aggregate(pieces, zero, step)["taken"]
-    return F.array_join(F.slice(pieces, 1, taken), "")
+def _sql_close(rest: str, tag: str) -> str:
+    """``rest`` starts with an opening ``tag``; the text up to its own closing tag."""
+    border = f"concat({_lit('(?i)(?=</?')}, {tag}, {_lit(_TAG_END)})"
+    depth = "za.depth + if(startswith(zs, '</'), -1, 1)"
+    closed = f"(za.closed OR {depth} = 0)"
+    step = (
+        f"named_struct('depth', {depth}, 'taken', za.taken + if({closed}, 0, 1), 'closed', {closed})"
+    )
+    start = "named_struct('depth', 0, 'taken', 0, 'closed', false)"
+    taken = f"aggregate(zp, {start}, (za, zs) -> {step}).taken"
+    return _let(f"split({rest}, {border})", "zp", f"array_join(slice(zp, 1, {taken}), '')")
 
 
-def _element_at_start(rest: Column) -> Column:
+def _sql_element(rest: str) -> str:
     """Opening tag plus body of the element that ``rest`` starts with (closing tag left off)."""
-    void = rf"(?i)^<(?:{'|'.join(VOID_TAGS)})(?=[\s/>])"
-    flat = rf"(?is)^(<({_ANY_TAG})(?=[\s/>])[^>]*>.*?)</\2\s*>"
-    tag = F.regexp_extract(rest, rf"^<({_ANY_TAG})", 1)
-
-    def close(body: Column) -> Column:
-        inner = F.lower(F.substring(body, 2, 2147483647))
-        nested = F.contains(inner, F.concat(F.lit("<"), F.lower(tag)))
-        return F.when((body == "") | nested, _close_by_depth(rest, tag)).otherwise(body)
-
-    return F.when(rest.rlike(void), F.regexp_extract(rest, r"^<[^>]*>", 0)).otherwise(
-        bind(F.regexp_extract(rest, flat, 1), close)
+    void = _lit(rf"(?i)^<(?:{'|'.join(VOID_TAGS)})(?=[\s/>])")
+    flat = _lit(rf"(?is)^(<({_ANY_TAG})(?=[\s/>])[^>]*>.*?)</\2\s*>")
+    tag = f"regexp_extract({rest}, {_lit(f'^<({_ANY_TAG})')}, 1)"
+    nested = f"contains(lower(substring(eb, 2)), concat('<', lower({tag})))"
+    body = f"CASE WHEN eb = '' OR {nested} THEN {_sql_close(rest, tag)} ELSE eb END"
+    return (
+        f"CASE WHEN {rest} RLIKE {void} THEN regexp_extract({rest}, '^<[^>]*>', 0) "
+        f"ELSE {_let(f'regexp_extract({rest}, {flat}, 1)', 'eb', body)} END"
     )
 
 
@@ -168,82 +175,92 @@ def find_elements(html: Column, tag: str | None = None, cls: str | None = None,
                   element_id: str | None = None) -> Column:
     """ARRAY of all matching elements in page order, each cut at its own closing tag."""
     start = _start_tag(tag, cls, element_id=element_id)
-    segments = F.split(html, rf"(?={start})")
-    hits = F.filter(segments, lambda s: s.rlike(rf"^{start}"))
-    return F.transform(hits, _element_at_start)
+
+    def body(v: str) -> str:
+        hits = f"filter(split({v}, {_lit(f'(?={start})')}), fs -> fs RLIKE {_lit('^' + start)})"
+        return f"transform({hits}, fe -> {_sql_element('fe')})"
+
+    return bind(html, body)
+
+
+def _sql_find(html: str, start: str) -> str:
+    rest = f"regexp_extract({html}, {_lit(start + '.*')}, 0)"
+    return _let(rest, "fr", f"CASE WHEN fr <> '' THEN {_sql_element('fr')} END")
 
 
 def find_element(html: Column, tag: str | None = None, cls: str | None = None,
                  attr: str | None = None, element_id: str | None = None) -> Column:
     """First matching element, or NULL."""
-    start = _start_tag(tag, cls, attr, element_id)
-    rest = F.regexp_extract(html, rf"(?is){start}.*", 0)
-    return bind(rest, lambda r: F.when(r != "", _element_at_start(r)))
+    return bind(html, lambda v: _sql_find(v, _start_tag(tag, cls, attr, element_id)))
+
+
+def _sql_attribute(element: str, name: str) -> str:
+    opening = f"regexp_extract({element}, '^<[^>]*>', 0)"
+    quoted = _lit(rf"(?is)\s{re.escape(name)}\s*=\s*(\"[^\"]*\"|'[^']*')")
+    value = _sql_decode("substring(aq, 2, length(aq) - 2)")
+    found = f"regexp_extract({opening}, {quoted}, 1)"
+    return _let(found, "aq", f"CASE WHEN aq <> '' THEN {value} END")
 
 
 def attribute(element: Column, name: str) -> Column:
     """Value of an attribute of the element's own opening tag, decoded; NULL when absent."""
-    opening = F.regexp_extract(element, r"^<[^>]*>", 0)
-    pattern = rf"(?is)\s{re.escape(name)}\s*=\s*(\"[^\"]*\"|'[^']*')"
+    return bind(element, lambda v: _sql_attribute(v, name))
 
-    def unquote(quoted: Column) -> Column:
-        value = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-        return F.when(quoted != "", decode_entities(value))
 
-    return bind(F.regexp_extract(opening, pattern, 1), unquote)
+def _sql_text(element: str) -> str:
+    return _sql_decode(_replace_all(element, [("<[^>]*>", "")]))
+
+
+def text_content(element: Column) -> Column:
+    """Concatenated text of an element, tags removed and character references decoded."""
+    return bind(element, _sql_text)
 
 
 def closest_link(html: Column, cls: str) -> Column:
     """href of the nearest link that is, or encloses, the first element of a class; NULL if none."""
     start = _start_tag(None, cls)
-    itself = F.regexp_extract(html, start, 0)
-    before = F.regexp_extract(html, rf"(?is)^((?:(?!{start}).)*){start}", 1)
-    around = F.regexp_extract(before, r"(?is)^.*(<a\s[^>]*>)(?!.*</a\s*>)", 1)
-    return bind(
-        F.when(itself.rlike(r"(?i)^<a\s"), itself).otherwise(around),
-        lambda tag: F.when(tag != "", attribute(tag, "href")),
-    )
 
+    def body(v: str) -> str:
+        itself = f"regexp_extract({v}, {_lit(start)}, 0)"
+        before = f"regexp_extract({v}, {_lit(f'(?is)^((?:(?!{start}).)*){start}')}, 1)"
+        around = f"regexp_extract({before}, {_lit(r'(?is)^.*(<a\s[^>]*>)(?!.*</a\s*>)')}, 1)"
+        is_link = f"{itself} RLIKE {_lit(r'(?i)^<a\s')}"
+        link = f"CASE WHEN {is_link} THEN {itself} ELSE {around} END"
+        return _let(link, "kl", f"CASE WHEN kl <> '' THEN {_sql_attribute('kl', 'href')} END")
 
-def text_content(element: Column) -> Column:
-    """Concatenated text of an element, tags removed and character references decoded."""
-    return decode_entities(F.regexp_replace(element, r"<[^>]*>", ""))
+    return bind(html, body)
 
 
 def page_title(html: Column) -> Column:
     """Text of the first title element; NULL when the page has none."""
-    pattern = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-    return F.when(html.rlike(pattern), decode_entities(F.regexp_extract(html, pattern, 1)))
-
-
-def link_tags(html: Column) -> Column:
-    """ARRAY of ``<a ...>text`` elements that carry an href attribute."""
-    pattern = r"(?is)<a(?=\s)[^>]*?\shref\s*=\s*(?:\"[^\"]*\"|'[^']*')[^>]*>(?:(?!</?a[\s>]).)*"
-    return F.regexp_extract_all(strip_inert(html), F.lit(pattern), F.lit(0))
+    title = _lit(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+    return bind(
+        html,
+        lambda v: f"CASE WHEN {v} RLIKE {title} THEN {_sql_decode(f'regexp_extract({v}, {title}, 1)')} END",
+    )
 
 
 def links(html: Column) -> Column:
     """ARRAY<STRUCT<name, url>> of links with a non-empty href, in page order."""
-    rows = F.transform(
-        link_tags(html),
-        lambda a: F.struct(
-            strip_ws(text_content(a)).alias("name"), strip_ws(attribute(a, "href")).alias("url")
-        ),
-    )
-    return F.filter(rows, lambda r: r["url"] != "")
+    tag = _lit(r"(?is)<a(?=\s)[^>]*?\shref\s*=\s*(?:\"[^\"]*\"|'[^']*')[^>]*>(?:(?!</?a[\s>]).)*")
+    strip = lambda text: f"btrim({text}, {_lit(WHITESPACE)})"
 
+    def body(v: str) -> str:
+        found = f"regexp_extract_all({_sql_inert(v)}, {tag}, 0)"
+        name, url = strip(_sql_text("la")), strip(_sql_attribute("la", "href"))
+        rows = f"transform({found}, la -> named_struct('name', {name}, 'url', {url}))"
+        return f"filter({rows}, ll -> ll.url <> '')"
 
-# --- markdown and plain text -------------------------------------------------------------------
+    return bind(html, body)
 
-_BLOCKS = (
-    "p|div|article|section|main|nav|aside|ul|ol|dl|table|tbody|thead|form|figure|address|body|html"
-)
+
+# --- markdown and plain text -------------------------------------------------------------------
 
 
-def _heading_marks(text: Column) -> Column:
-    marked = F.regexp_replace(text, r"(?i) ?<h([1-6])\b[^>]*> ?", "\n\n\x01$1")
+def _sql_headings(text: str) -> str:
+    marked = _replace_all(text, [(r"(?i) ?<h([1-6])\b[^>]*> ?", "\n\n\x01$1")])
     for level in range(1, 7):
-        marked = F.replace(marked, F.lit(f"\x01{level}"), F.lit("#" * level + " "))
+        marked = f"replace({marked}, {_lit(chr(1) + str(level))}, {_lit('#' * level + ' ')})"
     return marked
 
 
@@ -258,25 +275,28 @@ _RARE_STEPS = [
     (r"(?i)</t[dh] ?> ?<t[dh]\b[^>]*>", " | "),
     (r"(?i) ?</tr ?> ?", "\n"),
 ]
+_COMMON_STEPS = [
+    (r"(?i) ?<br ?/?> ?", "  \n"),
+    (r"(?i) ?<li\b[^>]*> ?", "\n  * "),
+    (r"(?i)</?(?:b|strong)(?:\s[^>]*)?>", "**"),
+    (r"(?i)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a ?>", "[$2]($1)"),
+    (rf"(?i) ?</?(?:{_BLOCKS}|h[1-6])(?:\s[^>]*)?> ?", "\n\n"),
+    (r"<[^>]*>", ""),
+]
 
 
 def to_markdown(html: Column) -> Column:
     """Cleaned page -> markdown with inline links, ``#`` headings, bullets and ``**bold**``."""
-    body = F.regexp_replace(strip_inert(clean_html(html), "head"), r"[ \t\r\n\f]+", " ")
-    body = bind(
-        _heading_marks(body),
-        lambda t: F.when(t.rlike(_RARE_TAGS), _chain(t, _RARE_STEPS)).otherwise(t),
-    )
-    steps = [
-        (r"(?i) ?<br ?/?> ?", "  \n"),
-        (r"(?i) ?<li\b[^>]*> ?", "\n  * "),
-        (r"(?i)</?(?:b|strong)(?:\s[^>]*)?>", "**"),
-        (r"(?i)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a ?>", "[$2]($1)"),
-        (rf"(?i) ?</?(?:{_BLOCKS}|h[1-6])(?:\s[^>]*)?> ?", "\n\n"),
-        (r"<[^>]*>", ""),
-    ]
-    text = decode_entities(_chain(body, steps))
-    return strip_ws(_chain(text, [(r"\n(?: *\n){2,}", "\n\n"), (r"\n ([^ ])", "\n$1")]))
+
+    def body(v: str) -> str:
+        cleaned = _sql_inert(_sql_drop(v, "header", "footer"), "head")
+        marked = _sql_headings(_replace_all(cleaned, [(r"[ \t\r\n\f]+", " ")]))
+        rare = f"CASE WHEN mt RLIKE {_lit(_RARE_TAGS)} THEN {_replace_all('mt', _RARE_STEPS)} ELSE mt END"
+        text = _sql_decode(_replace_all(_let(marked, "mt", rare), _COMMON_STEPS))
+        tidy = _replace_all(text, [(r"\n(?: *\n){2,}", "\n\n"), (r"\n ([^ ])", "\n$1")])
+        return f"btrim({tidy}, {_lit(WHITESPACE)})"
+
+    return bind(html, body)
 
 
 def to_text(html: Column) -> Column:
@@ -286,5 +306,9 @@ def to_text(html: Column) -> Column:
         (rf"(?i) ?</?(?:br|{_BLOCKS}|h[1-6]|li|tr|header|footer)(?:\s[^>]*)?/?> ?", "\n"),
         (r"<[^>]*>", ""),
     ]
-    text = decode_entities(_chain(strip_inert(html, "head"), steps))
-    return strip_ws(F.regexp_replace(text, r" *\n[ \n]*", "\n"))
+
+    def body(v: str) -> str:
+        text = _sql_decode(_replace_all(_sql_inert(v, "head"), steps))
+        return f"btrim({_replace_all(text, [(r' *\n[ \n]*', chr(10))])}, {_lit(WHITESPACE)})"
+
+    return bind(html, body)

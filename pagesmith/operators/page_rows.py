@@ -50,11 +50,9 @@ def pagination_count(html: Column, cls: str = "pagination") -> Column:
     NULL when that item is no number."""
     pager = F.coalesce(H.find_element(html, "ul", cls), F.lit(""))
 
-    def last_page(items: Column) -> Column:
-        label = strip_ws(H.text_content(F.get(items, F.size(items) - 2)))
-        return F.when(F.size(items) > 1, label.try_cast("int")).otherwise(1)
-
-    return H.bind(H.find_elements(pager, "li"), last_page)
+    items = F.transform(H.find_elements(pager, "li"), lambda li: strip_ws(H.text_content(li)))
+    last_page = "CASE WHEN size({0}) > 1 THEN try_cast(get({0}, size({0}) - 2) AS INT) ELSE 1 END"
+    return H.bind(items, last_page.format)
 
 
 def class_text(html: Column, classes: Sequence[str], joiner: str = "") -> Column:
