@@ -56,7 +56,8 @@ def salted_lookup(facts: DataFrame, records: DataFrame, key: str, how: str = "le
                   salts: int = 32) -> DataFrame:
     """Join many fact rows to records that are unique on ``key`` without a hot-key task.
 
-    Fact rows of one key are dealt over ``salts`` sub-keys. Each record is copied only to the
+    Fact rows of one key are dealt over ``salts`` sub-keys by their content (they should carry an
+    id of their own, since identical rows stay together). Each record is copied only to the
     sub-keys its key really uses, so rare keys are not multiplied and nothing is broadcast."""
     if how not in ("left", "inner"):
         raise ValueError("salted_lookup does left and inner joins")

@@ -86,9 +86,13 @@ PROJECT_CARD = CardSpec(None, "ProjectCover-root-X6u", (
 ))
 
 
-def split_cards(pages: DataFrame, spec: CardSpec) -> DataFrame:
-    """One row per card with the page's other columns; ``position`` counts from 0. No shuffle."""
+def split_cards(pages: DataFrame, spec: CardSpec, target: int | None = None) -> DataFrame:
+    """One row per card with the page's other columns; ``position`` counts from 0. No shuffle.
+
+    With a ``target`` only the first so many cards of each page are taken, before any is read."""
     cards = H.find_elements(H.strip_inert(F.col("html")), spec.tag, spec.cls)
+    if target is not None:
+        cards = F.slice(cards, 1, target)
     kept = [c for c in pages.columns if c != "html"]
     return explode_array(pages, kept, cards, "card")
 
@@ -98,9 +102,9 @@ def read_fields(cards: DataFrame, spec: CardSpec) -> DataFrame:
     return cards.withColumns({f.name: f.value(F.col("card")) for f in spec.fields})
 
 
-def extract_cards(pages: DataFrame, spec: CardSpec) -> DataFrame:
+def extract_cards(pages: DataFrame, spec: CardSpec, target: int | None = None) -> DataFrame:
     """Cards with NULL for missing elements (so missing and present stay distinguishable)."""
-    return read_fields(split_cards(pages, spec), spec).drop("card")
+    return read_fields(split_cards(pages, spec, target), spec).drop("card")
 
 
 def with_defaults(cards: DataFrame, spec: CardSpec) -> DataFrame:
@@ -110,8 +114,8 @@ def with_defaults(cards: DataFrame, spec: CardSpec) -> DataFrame:
     )
 
 
-def deal_cards(pages: DataFrame, spec: CardSpec = DEAL_CARD) -> DataFrame:
-    return with_defaults(extract_cards(pages, spec), spec)
+def deal_cards(pages: DataFrame, spec: CardSpec = DEAL_CARD, target: int | None = None) -> DataFrame:
+    return with_defaults(extract_cards(pages, spec, target), spec)
 
 
 def deal_cards_attr(pages: DataFrame) -> DataFrame:
@@ -153,7 +157,9 @@ def split_bad_cards(cards: DataFrame, spec: CardSpec, price: str) -> tuple[DataF
 
 
 def take_target(cards: DataFrame, target: int) -> DataFrame:
-    """The first ``target`` cards of every page, in page order."""
+    """The first ``target`` of every page's remaining cards (after filters), in page order.
+
+    The window keeps ``target`` rows per page and task before it shuffles."""
     order = Window.partitionBy("page_id").orderBy("position")
     return (
         cards.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= target).drop("_n")

@@ -20,8 +20,12 @@ def retrieve_runs(metadata: DataFrame, token_costs: DataFrame, limit: int | None
                   model: str | None = None, start_date: str | None = None,
                   end_date: str | None = None, end_inclusive: bool = False) -> DataFrame:
     """Runs with their token row, newest first. ``end_date`` is a bare day and excludes that whole
-    day unless ``end_inclusive``. Filters reach the metadata scan; the limit is a distributed top-k."""
+    day unless ``end_inclusive``. Filters reach the metadata scan, and on stored tables the dates
+    prune the ``run_date`` partitions of both sides; the limit is a distributed top-k."""
     runs = metadata
+    if "run_date" in metadata.columns and "run_date" in token_costs.columns:
+        runs = _within_dates(runs, start_date, end_date)
+        token_costs = _within_dates(token_costs, start_date, end_date)
     if model is not None:
         runs = runs.where(F.col("model_used") == model)
     if start_date is not None:
@@ -40,6 +44,15 @@ def retrieve_runs(metadata: DataFrame, token_costs: DataFrame, limit: int | None
     return joined.orderBy(F.desc("timestamp"), F.desc("id")).limit(limit)
 
 
+def _within_dates(rows: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
+    day = F.col("run_date")
+    if start_date is not None:
+        rows = rows.where(day >= F.to_date(F.lit(start_date)))
+    if end_date is not None:
+        rows = rows.where(day <= F.to_date(F.lit(end_date)))
+    return rows
+
+
 def with_display_names(runs: DataFrame) -> DataFrame:
     return runs.withColumnsRenamed(DISPLAY_NAMES)
 

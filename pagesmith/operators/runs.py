@@ -23,16 +23,24 @@ def listing_records(merged: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def store_runs(folder: str, metadata: DataFrame, listings: DataFrame, token_costs: DataFrame) -> None:
+def store_runs(folder: str, metadata: DataFrame, listings: DataFrame, token_costs: DataFrame,
+               files_per_date: int = 16) -> None:
     """Write the batch below ``folder``, partitioned by ``run_date``.
 
+    Rows of a date are dealt by run over ``files_per_date`` tasks and sorted by run, so no date is
+    one task's work, a date holds few files, and the lookup of a run skips most row groups.
+
     Only the run dates present in the batch are replaced, so a batch that is repeated after a
     failure leaves the same rows. Children are written first: a run becomes visible with its
     metadata row, when everything that belongs to it is already there."""
     batch = {"listings": listings, "token_costs": token_costs, "scrape_metadata": metadata}
     for name, rows in batch.items():
+        run = "id" if name == "scrape_metadata" else "scrape_id"
+        deal = F.pmod(F.xxhash64(run), F.lit(files_per_date))
         (
-            rows.write.mode("overwrite")
+            rows.repartition(F.col("run_date"), deal)
+            .sortWithinPartitions("run_date", run)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("run_date")
             .parquet(f"{folder}/{name}")

@@ -128,7 +128,13 @@ def pagination_count(spark, sf):
 
 
 def take_target(spark, sf):
-    return C.take_target(C.deal_cards(deal_pages(spark, sf)), 7).select("page_id", "position", "product_name")
+    return C.deal_cards(deal_pages(spark, sf), target=7).select("page_id", "position", "product_name")
+
+
+def take_target_filtered(spark, sf):
+    """Target applied after a filter, where positions have gaps."""
+    cards = C.deal_cards(deal_pages(spark, sf)).where(F.col("discount") != "N/A")
+    return C.take_target(cards, 7).select("page_id", "position", "product_name")
 
 
 def target_shortfall(spark, sf):
@@ -191,7 +197,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         deal_cards, deal_cards_search, bad_rows, deal_cards_attr, asset_cards, job_cards, project_cards,
-        enrich_featured, sample_head, pagination_count, take_target, target_shortfall, search_fallback,
+        enrich_featured, sample_head, pagination_count, take_target, take_target_filtered, target_shortfall, search_fallback,
         store_lookup, harvest_deals, harvest_rejects,
     )
 }
@@ -248,6 +254,9 @@ ORDER BY page_id, position LIMIT 3""",
 SELECT s_suppkey, CASE WHEN s_nationkey = 0 THEN 1 WHEN s_nationkey < 24 THEN s_nationkey END AS n_pages FROM supplier""",
     "take_target": f"""
 WITH {DEALS_SQL} SELECT page_id, position, product_name FROM deals WHERE position < 7""",
+    "take_target_filtered": f"""
+WITH {DEALS_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY position) AS rn FROM deals WHERE discount IS NOT NULL)
+SELECT page_id, position, product_name FROM k WHERE rn <= 7""",
     "target_shortfall": """
 SELECT p_partkey // 20 AS page_id, count(*) AS n_found, least(count(*), 25) AS n_taken, 25 - least(count(*), 25) AS shortfall,
        least(count(*), 25) / 25.0 AS progress FROM part GROUP BY 1""",

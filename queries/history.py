@@ -26,15 +26,13 @@ def _round(rows, *names):
 
 
 def store_run(spark, sf):
-    """Write all runs as a batch, twice (the repeat must change nothing), and read them back."""
+    """Write all runs as one batch and read them back."""
     folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
     metadata, listings, costs = run_tables(spark, sf)
     day = metadata.select(F.col("id").alias("scrape_id"), F.to_date("timestamp").alias("run_date"))
     dated = [metadata.withColumn("run_date", F.to_date("timestamp"))]
     dated += [rows.join(day, "scrape_id") for rows in (listings, costs)]
-    dated = [rows.repartition("run_date", F.pmod(F.xxhash64(rows.columns[0]), F.lit(4))) for rows in dated]
-    for _ in range(2):
-        R.store_runs(folder, *dated)
+    R.store_runs(folder, *dated, files_per_date=2)
     stored, stored_listings, stored_costs = R.read_runs(spark, folder)
     counts = [
         stored.groupBy("run_date").agg(F.count(F.lit(1)).alias("n_runs")),
