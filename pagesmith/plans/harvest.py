@@ -1,28 +1,27 @@
-"""Harvest job: store frontier joined to fetched pages -> deal cards -> flat product table."""
+"""Harvest job: deal cards of the fetched pages that belong to the stores' frontier."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import salted_lookup
-from ..operators.cards import DEAL_ATTR_CARD, CardSpec, deal_cards
 from ..functions.urls import url_page_number
+from ..operators.cards import DEAL_ATTR_CARD, CardSpec, deal_cards
 from ..sources.frontier import store_page_urls
 from ..sources.pages import split_by_status
 
 
 def harvest_store_deals(stores: DataFrame, pages: DataFrame, base: str,
                         spec: CardSpec = DEAL_ATTR_CARD) -> tuple[DataFrame, DataFrame]:
-    """(products, rejects): cards of every frontier page in (store, page, position) order keys.
+    """(products, rejects): cards of every frontier page, with ``(store, page, position)`` to order
+    them by. Frontier URLs without a usable page are rejects.
 
-    Frontier URLs without a usable page are rejects. The one shuffle is the join on the URL."""
-    frontier = store_page_urls(stores, base).select("store", "page_number", "url")
+    Cards are read on the page scan, before the join on the URL, so HTML is never shuffled."""
+    frontier = store_page_urls(stores, base).select("store", "url")
     good, failed = split_by_status(pages)
-    hit = salted_lookup(frontier, good.select("page_id", "url", "html"), "url")
-    products = deal_cards(hit.where(F.col("page_id").isNotNull()), spec)
+    products = deal_cards(good, spec).join(frontier, "url")
     labelled = products.withColumn("page_number", url_page_number(F.col("url")))
-    missing = hit.where(F.col("page_id").isNull()).select("url")
+    missing = frontier.join(good.select("url").distinct(), "url", "left_anti").select("url")
     reasons = failed.select("url", "reason").dropDuplicates(["url"])
     rejects = missing.join(reasons, "url", "left").withColumn(
         "reason", F.coalesce("reason", F.lit("not_fetched"))

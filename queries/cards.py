@@ -13,7 +13,7 @@ from pagesmith.operators.page_rows import pagination_count as last_page
 from pagesmith.plans.harvest import harvest_store_deals
 
 from .common import (
-    BASE, DEALS_SQL, _or_nothing, deal_card, deal_pages, deal_rows, escaped, pages_of_cards, sql_text, table,
+    BASE, DEALS_SQL, _or_nothing, deal_card, dealt, deal_pages, deal_rows, escaped, pages_of_cards, sql_text, table,
 )
 
 
@@ -150,9 +150,9 @@ def _search_pages(spark, sf, known_only: bool):
     known = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int") <= 12
     rows = deal_rows(spark, sf)
     rows = rows.where(known) if known_only else rows
-    block = F.floor(F.col("p_partkey") / 500).alias("block")
+    rows = dealt(rows.withColumn("block", F.floor(F.col("p_partkey") / 500)), "p_brand", "block")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", deal_card().alias("c")))), lambda r: r["c"]), "")
-    pages = rows.groupBy(F.col("p_brand").alias("store"), block).agg(body.alias("html"))
+    pages = rows.groupBy("p_brand", "block").agg(body.alias("html")).withColumnRenamed("p_brand", "store")
     return pages.select(
         F.xxhash64("store", "block").alias("page_id"), "store", F.lit(SEARCH_WORD).alias("keyword"),
         F.concat(F.lit(f"{BASE}/search?store="), "store").alias("url"), "html",

@@ -104,15 +104,23 @@ def second_text(ts: Column) -> Column:
 CARDS_PER_PAGE = 20
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the keys of the grouping that follows (which then needs no other shuffle),
+    with a fixed count: the pages made from small rows are read by costly expressions."""
+    spark = rows.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(n, *keys)
+
+
 def pages_of_cards(rows: DataFrame, key: str, card: Column, url: Column,
                    per_page: int = CARDS_PER_PAGE) -> DataFrame:
     """Page table with at most ``per_page`` cards a page, in key order, framed by other markup."""
-    page = F.floor(F.col(key) / per_page).cast("bigint")
+    page = F.floor(F.col(key) / per_page).cast("bigint").alias("page_id")
     body = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), card.alias("c")))), lambda r: r["c"]),
         "\n",
     )
-    grouped = rows.groupBy(page.alias("page_id")).agg(body.alias("body"))
+    grouped = dealt(rows.withColumn("page_id", page), "page_id").groupBy("page_id").agg(body.alias("body"))
     html = F.concat(
         F.lit('<html><body><!-- <div class="product-item-detail">no card</div> --><div class="row">'),
         F.col("body"),

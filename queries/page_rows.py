@@ -8,7 +8,7 @@ from pagesmith.cluster import spread
 from pagesmith.functions import html as H
 from pagesmith.operators import page_rows as P
 
-from .common import BASE, _INERT, escaped, quote, rx, sql_clean, sql_decode, sql_markdown, sql_text, table
+from .common import BASE, _INERT, dealt, escaped, quote, rx, sql_clean, sql_decode, sql_markdown, sql_text, table
 from .scans import NAV_PATH
 
 
@@ -61,9 +61,9 @@ def table_pages(spark, sf):
         F.when(F.col("c_acctbal") < 0, "").otherwise(F.concat(F.lit("<td>"), "c_mktsegment", F.lit("</td>"))),
     )
     row = F.concat(F.lit("<tr>"), F.when(F.col("c_acctbal") > 9500, "").otherwise(cells), F.lit("</tr>"))
-    block = F.floor(F.col("c_custkey") / PER_TABLE).alias("page_id")
+    blocks = table(spark, sf, "customer").withColumn("page_id", F.floor(F.col("c_custkey") / PER_TABLE))
     rows = F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("k"), row.alias("r"))))
-    grouped = table(spark, sf, "customer").groupBy(block).agg(
+    grouped = dealt(blocks, "page_id").groupBy("page_id").agg(
         rows.alias("rows"), F.min_by("c_mktsegment", "c_custkey").alias("first")
     )
     html = F.concat(
