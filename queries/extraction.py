@@ -260,7 +260,39 @@ _REPAIR = """f AS (SELECT *, CASE WHEN good THEN '{"listings":[' || j1 || ',' ||
     WHEN p_type = 'ECONOMY' THEN '{"listings":[' || j1 || ',' || j2 || ',{"Price":"1'
     WHEN p_type = 'SMALL' THEN '{"listings":[' || j1 || ',{"Product Name":"cut'
     WHEN p_type = 'LARGE' THEN '[1, 2]' ELSE 'Sorry: ' || p_name END AS reply FROM t WHERE NOT failed)"""
+
+
+def _chunks_sql(size: int, overlap: int) -> str:
+    """The splitting rule over sets: lines, then the words of lines that are too long, as borders
+    (offsets) of runs; windows over a run's borders by recursion. Texts here hold no blank line,
+    and no word reaches the chunk size, so two levels are all there is."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, CASE WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep FROM documents),
+p0 AS (SELECT doc_id, sep, unnest(string_split(text, sep)) AS s, unnest(range(len(string_split(text, sep)))) AS i FROM d),
+p1 AS (SELECT doc_id, sep, i, CASE WHEN i > 0 THEN sep || s ELSE s END AS s FROM p0 WHERE i > 0 OR s <> ''),
+p2 AS (SELECT *, length(s) AS n, CAST(sum(length(s)) OVER w - length(s) AS BIGINT) AS a,
+              sum(CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END) OVER w * 2 - CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END AS run
+       FROM p1 WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)),
+sub0 AS (SELECT doc_id, run, a, unnest(string_split(s, ' ')) AS s, unnest(range(len(string_split(s, ' ')))) AS i FROM p2 WHERE n >= {size} AND sep = chr(10)),
+sub AS (SELECT doc_id, run, CASE WHEN i > 0 THEN ' ' || s ELSE s END AS s, i, a FROM sub0),
+borders AS (SELECT doc_id, run, a AS start, a + n AS stop FROM p2 WHERE n < {size}
+            UNION ALL SELECT doc_id, run, CAST(a + sum(length(s)) OVER w - length(s) AS BIGINT), CAST(a + sum(length(s)) OVER w AS BIGINT) FROM sub
+            WINDOW w AS (PARTITION BY doc_id, run ORDER BY i ROWS UNBOUNDED PRECEDING)),
+runs AS (SELECT doc_id, run, list_sort(list_distinct(list(start) || list(stop))) AS cuts FROM borders GROUP BY ALL),
+ends(doc_id, run, f, e) AS (
+  SELECT doc_id, run, 1, greatest(2, len(list_filter(cuts, lambda c: c - cuts[1] <= {size}))) FROM runs
+  UNION ALL
+  SELECT doc_id, run, nf, greatest(nf + 1, len(list_filter(cuts, lambda c: c - cuts[nf] <= {size}))) FROM (
+    SELECT doc_id, run, cuts, 1 + len(list_filter(cuts, lambda c: cuts[e] - c > {overlap} OR cuts[e + 1] - c > {size})) AS nf
+    FROM ends JOIN runs USING (doc_id, run) WHERE e < len(cuts))),
+out AS (SELECT doc_id, run, f, trim(substr(text, cuts[f] + 1, cuts[e] - cuts[f]), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text
+        FROM ends JOIN runs USING (doc_id, run) JOIN documents USING (doc_id))
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run, f) - 1 AS chunk_idx, text FROM out WHERE text <> ''"""
+
+
 ORACLE = {
+    "chunk_text": _chunks_sql(10_000, 1_000),
+    "chunk_text_small": _chunks_sql(500, 50),
     "chunk_invariants": "SELECT doc_id, 1 AS within_size, 1 AS in_text, 1 AS complete, 1 AS numbered FROM documents",
     "count_tokens": "SELECT doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS n_tokens FROM documents",
     "trim_to_tokens": "SELECT doc_id, md5(substr(text, 1, 400)) AS text_md5 FROM documents",
