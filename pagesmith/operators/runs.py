@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("scrape_metadata", "listings", "token_costs")
 
 
-def run_id(url, started_at):
-    """Deterministic id of a run: no counter to share between tasks, same id on a repeated batch."""
-    return F.xxhash64(url, started_at.cast("string"))
+def run_id(url: Column, started_at: Column) -> Column:
+    """Deterministic id of a run: no counter to share between tasks, same id on a repeated batch,
+    and wide enough (128 bits) that two runs never share one."""
+    return F.md5(F.concat_ws(" ", started_at.cast("string"), url))
 
 
 def listing_records(merged: DataFrame, fields: Sequence[str]) -> DataFrame:

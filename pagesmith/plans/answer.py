@@ -12,13 +12,19 @@ from ..operators.listings import chunk_rows
 from ..operators.vectors import TOP_K, dense, hashed_words, stuff_context, vector_topk
 
 
+# More chunks than the longest possible text value can give.
+MAX_CHUNKS = 1 << 24
+
+
 def index_documents(documents: DataFrame, size: int = CHUNK_SIZE,
                     overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """``doc_id, text`` -> ``vec_id, doc_id, chunk_idx, text, embedding``, checkpointed.
 
-    ``vec_id`` is made from (doc_id, chunk_idx), so it is the same on every run."""
+    ``vec_id`` packs (doc_id, chunk_idx), so it is the same on every run and never collides; an
+    id that does not fit fails the job instead of wrapping around."""
     chunks = chunk_rows(documents.select("doc_id", "text"), size, overlap)
-    keyed = chunks.withColumn("vec_id", F.xxhash64("doc_id", "chunk_idx"))
+    packed = F.col("doc_id") * F.lit(MAX_CHUNKS).cast("bigint") + F.col("chunk_idx")
+    keyed = chunks.withColumn("vec_id", packed)
     vectors = dense(hashed_words(keyed, "vec_id"), "vec_id")
     return cut_lineage(keyed.join(vectors, "vec_id"))
 

@@ -262,42 +262,71 @@ _REPAIR = """f AS (SELECT *, CASE WHEN good THEN '{"listings":[' || j1 || ',' ||
     WHEN p_type = 'LARGE' THEN '[1, 2]' ELSE 'Sorry: ' || p_name END AS reply FROM t WHERE NOT failed)"""
 
 
-def _chunks_sql(size: int, overlap: int) -> str:
-    """The splitting rule over sets: lines, then the words of lines that are too long, as borders
-    (offsets) of runs; windows over a run's borders by recursion. Texts here hold no blank line,
-    and no word reaches the chunk size, so two levels are all there is."""
+def _chunks_sql(size: int, overlap: int, source: str = "SELECT doc_id, text FROM documents") -> str:
+    """CTEs ending in ``chunks(doc_id, chunk_idx, text)``: the splitting rule over sets.
+
+    The pieces of the coarsest separator, and the finer pieces of those that are too long, are
+    borders (offsets) of runs; recursion walks the windows over each run's borders. No word of
+    these texts reaches the chunk size, so the level of single characters is left out."""
     return f"""
-WITH RECURSIVE d AS (SELECT doc_id, text, CASE WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep FROM documents),
+RECURSIVE d0 AS ({source}),
+d AS (SELECT doc_id, text, CASE WHEN contains(text, chr(10) || chr(10)) THEN chr(10) || chr(10)
+                                WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep FROM d0),
 p0 AS (SELECT doc_id, sep, unnest(string_split(text, sep)) AS s, unnest(range(len(string_split(text, sep)))) AS i FROM d),
 p1 AS (SELECT doc_id, sep, i, CASE WHEN i > 0 THEN sep || s ELSE s END AS s FROM p0 WHERE i > 0 OR s <> ''),
 p2 AS (SELECT *, length(s) AS n, CAST(sum(length(s)) OVER w - length(s) AS BIGINT) AS a,
               sum(CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END) OVER w * 2 - CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END AS run
        FROM p1 WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)),
-sub0 AS (SELECT doc_id, run, a, unnest(string_split(s, ' ')) AS s, unnest(range(len(string_split(s, ' ')))) AS i FROM p2 WHERE n >= {size} AND sep = chr(10)),
-sub AS (SELECT doc_id, run, CASE WHEN i > 0 THEN ' ' || s ELSE s END AS s, i, a FROM sub0),
-borders AS (SELECT doc_id, run, a AS start, a + n AS stop FROM p2 WHERE n < {size}
-            UNION ALL SELECT doc_id, run, CAST(a + sum(length(s)) OVER w - length(s) AS BIGINT), CAST(a + sum(length(s)) OVER w AS BIGINT) FROM sub
-            WINDOW w AS (PARTITION BY doc_id, run ORDER BY i ROWS UNBOUNDED PRECEDING)),
-runs AS (SELECT doc_id, run, list_sort(list_distinct(list(start) || list(stop))) AS cuts FROM borders GROUP BY ALL),
+long AS (SELECT doc_id, run, a, s, CASE WHEN length(sep) = 2 THEN chr(10) ELSE ' ' END AS sep FROM p2 WHERE n >= {size}),
+sub0 AS (SELECT doc_id, run, a, sep, unnest(string_split(s, sep)) AS s, unnest(range(len(string_split(s, sep)))) AS i FROM long),
+sub1 AS (SELECT doc_id, run, a, sep, i, CASE WHEN i > 0 THEN sep || s ELSE s END AS s FROM sub0),
+sub AS (SELECT doc_id, run, sep, s, length(s) AS n, CAST(a + sum(length(s)) OVER w - length(s) AS BIGINT) AS a,
+               sum(CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END) OVER w * 2 - CASE WHEN length(s) >= {size} THEN 1 ELSE 0 END AS run2
+        FROM sub1 WINDOW w AS (PARTITION BY doc_id, run ORDER BY i ROWS UNBOUNDED PRECEDING)),
+word0 AS (SELECT doc_id, run, run2, a, unnest(string_split(s, ' ')) AS s, unnest(range(len(string_split(s, ' ')))) AS i
+          FROM sub WHERE n >= {size} AND sep = chr(10)),
+word1 AS (SELECT doc_id, run, run2, a, i, CASE WHEN i > 0 THEN ' ' || s ELSE s END AS s FROM word0),
+word AS (SELECT doc_id, run, run2, length(s) AS n, CAST(a + sum(length(s)) OVER w - length(s) AS BIGINT) AS a
+         FROM word1 WINDOW w AS (PARTITION BY doc_id, run, run2 ORDER BY i ROWS UNBOUNDED PRECEDING)),
+borders AS (SELECT doc_id, run, 0 AS run2, a AS start, a + n AS stop FROM p2 WHERE n < {size}
+            UNION ALL SELECT doc_id, run, run2, a, a + n FROM sub WHERE n < {size}
+            UNION ALL SELECT doc_id, run, run2, a, a + n FROM word),
+runs AS (SELECT doc_id, run * 100000 + run2 AS run, list_sort(list_distinct(list(start) || list(stop))) AS cuts FROM borders GROUP BY ALL),
 ends(doc_id, run, f, e) AS (
   SELECT doc_id, run, 1, greatest(2, len(list_filter(cuts, lambda c: c - cuts[1] <= {size}))) FROM runs
   UNION ALL
   SELECT doc_id, run, nf, greatest(nf + 1, len(list_filter(cuts, lambda c: c - cuts[nf] <= {size}))) FROM (
     SELECT doc_id, run, cuts, 1 + len(list_filter(cuts, lambda c: cuts[e] - c > {overlap} OR cuts[e + 1] - c > {size})) AS nf
     FROM ends JOIN runs USING (doc_id, run) WHERE e < len(cuts))),
-out AS (SELECT doc_id, run, f, trim(substr(text, cuts[f] + 1, cuts[e] - cuts[f]), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text
-        FROM ends JOIN runs USING (doc_id, run) JOIN documents USING (doc_id))
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run, f) - 1 AS chunk_idx, text FROM out WHERE text <> ''"""
-
+pieces AS (SELECT doc_id, run, f, trim(substr(text, cuts[f] + 1, cuts[e] - cuts[f]), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text
+           FROM ends JOIN runs USING (doc_id, run) JOIN d0 USING (doc_id)),
+chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run, f) - 1 AS chunk_idx, text FROM pieces WHERE text <> '')"""
+
+
+_PAGE_TEXT = f"SELECT page_id AS doc_id, {sql_markdown('html')} AS text FROM pages"
+_EXTRACT_RUN = f"""
+WITH {_chunks_sql(10_000, 1_000, _PAGE_TEXT)},
+links AS (SELECT doc_id, chunk_idx, unnest(regexp_extract_all(text, {_LINK}, 1)) AS title,
+            unnest(regexp_extract_all(text, {_LINK}, 2)) AS href, unnest(range(len(regexp_extract_all(text, {_LINK})))) AS pos FROM chunks),
+j AS (SELECT doc_id, chunk_idx, string_agg('{{"title":"' || title || '","href":"' || href || '"}}', ',' ORDER BY pos) AS body FROM links GROUP BY ALL),
+r AS (SELECT doc_id, text, '{{"listings":[' || coalesce(body, '') || ']}}' AS reply FROM chunks LEFT JOIN j USING (doc_id, chunk_idx)),
+k AS (SELECT doc_id, CAST(sum(ceil(length({_PROMPT_HEAD} || text) / 4.0)) AS BIGINT) AS input_tokens,
+             CAST(sum(ceil(length(reply) / 4.0)) AS BIGINT) AS output_tokens FROM r GROUP BY 1),
+m AS (SELECT doc_id, title, href, min(chunk_idx * 1000000 + pos) AS spot FROM links GROUP BY ALL),
+b AS (SELECT doc_id, count(*) AS n, string_agg('{{"title":"' || title || '","href":"' || href || '","note":""}}', ',' ORDER BY spot) AS body FROM m GROUP BY 1)
+SELECT doc_id AS scrape_id, 0 AS part, coalesce(n, 0) AS n_listings, md5('[' || coalesce(body, '') || ']') AS data_md5, input_tokens, output_tokens,
+       round(CAST(input_tokens * 0.000000150000 + output_tokens * 0.000000600000 AS DOUBLE), 10) AS cost, '{MODEL}' AS model
+FROM k LEFT JOIN b USING (doc_id)"""
 
 ORACLE = {
-    "chunk_text": _chunks_sql(10_000, 1_000),
-    "chunk_text_small": _chunks_sql(500, 50),
+    "chunk_text": f"WITH {_chunks_sql(10_000, 1_000)} SELECT * FROM chunks",
+    "chunk_text_small": f"WITH {_chunks_sql(500, 50)} SELECT * FROM chunks",
     "chunk_invariants": "SELECT doc_id, 1 AS within_size, 1 AS in_text, 1 AS complete, 1 AS numbered FROM documents",
     "count_tokens": "SELECT doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS n_tokens FROM documents",
     "trim_to_tokens": "SELECT doc_id, md5(substr(text, 1, 400)) AS text_md5 FROM documents",
     "build_prompts": f"""
 SELECT doc_id, md5({_PROMPT_HEAD} || text) AS prompt_md5, length({_PROMPT_HEAD} || text) AS n_chars FROM documents""",
+    "extract_run": _EXTRACT_RUN,
     "extract_listings": f"""
 WITH {_LINKS},
 j AS (SELECT scrape_id, string_agg('{{"title":"' || title || '","href":"' || href || '"}}', ',' ORDER BY pos) AS body FROM links GROUP BY 1),

@@ -150,6 +150,6 @@ SELECT o_orderkey, array_to_string(list_transform(regexp_extract_all(replace(low
     "threshold_label": "SELECT event_id, value AS score, CASE WHEN value >= 50 THEN 'PASS' ELSE 'FAIL' END AS res FROM events",
     "presence_flag": "SELECT page_id, CASE WHEN contains(html, 'class=\"ad\"') THEN 1 ELSE 0 END AS has_ad FROM pages",
     "require_title": r"""
-SELECT page_id, replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&amp;', '&') AS title FROM pages
+SELECT page_id, replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title FROM pages
 WHERE length(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)) > 0""",
 }

@@ -27,7 +27,7 @@ def pages_scan(spark, sf):
 
 def html_dir_scan(spark, sf):
     folder = f"{shared_folder(spark)}/saved-pages-{uuid.uuid4().hex}"
-    write_texts(table(spark, sf, "pages").select(F.col("html").alias("text")), folder)
+    write_texts(spread(table(spark, sf, "pages")).select(F.col("html").alias("text")), folder)
     files = source.scan_html_dir(spark, folder, "*.txt")
     return files.select(F.md5("html").alias("html_md5"), F.length("html").alias("n_chars"))
 

@@ -11,6 +11,7 @@ from pagesmith.operators import vectors as V
 from pagesmith.plans import answer as A
 
 from .common import quote, table
+from .extraction import _chunks_sql
 
 
 def concat_pages(spark, sf):
@@ -82,6 +83,7 @@ QUERIES = {
     for f in (concat_pages, embed_chunks, embed_provider, vector_topk, stuff_context, answer_documents)
 }
 
+
 def _hashed_sql(name: str, source: str, key: str) -> str:
     return f"""{name}_w AS (SELECT {key} AS k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM {source}),
 {name}_h AS (SELECT k, substr(md5(w), 1, 3) AS h FROM {name}_w),
@@ -90,6 +92,18 @@ def _hashed_sql(name: str, source: str, key: str) -> str:
 {name} AS (SELECT k, dim, n / sqrt(sum(n * n) OVER (PARTITION BY k)) AS weight FROM {name}_d)"""
 
 
+_CHUNKS = _chunks_sql(10_000, 1_000)
+_ANSWER = f"""
+WITH {_CHUNKS}, c AS (SELECT doc_id * 16777216 + chunk_idx AS vec_id, text FROM chunks),
+{_hashed_sql('v', 'c', 'vec_id')}, {_hashed_sql('q', 'benchmark', 'item_id')},
+dot AS (SELECT q.k AS question_id, v.k AS vec_id, sum(q.weight * v.weight) AS s FROM q JOIN v USING (dim) GROUP BY 1, 2),
+pairs AS (SELECT a.k AS question_id, b.k AS vec_id FROM (SELECT DISTINCT k FROM q) a, (SELECT DISTINCT k FROM v) b),
+r AS (SELECT pairs.*, row_number() OVER (PARTITION BY question_id ORDER BY round(2 - 2 * coalesce(s, 0), 9), vec_id) AS rank
+      FROM pairs LEFT JOIN dot USING (question_id, vec_id)),
+x AS (SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM r JOIN c USING (vec_id) WHERE rank <= 4 GROUP BY 1)
+SELECT question_id, {quote(ANSWER_PROMPT)} || context || chr(10) || chr(10) || 'Question:' || chr(10) || text AS prompt
+FROM x JOIN benchmark ON item_id = question_id"""
+
 ORACLE = {
     "concat_pages": """
 SELECT conv_id, turn // 256 AS part, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1, 2""",
@@ -103,6 +117,7 @@ c AS (SELECT label AS question_id, i, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP B
 d AS (SELECT question_id, vec_id, sum((CAST(v AS DOUBLE) - m) * (CAST(v AS DOUBLE) - m)) AS distance FROM x JOIN c USING (i) GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(distance, 9), vec_id) AS rank FROM d)
 SELECT question_id, rank, vec_id, round(distance, 6) AS distance FROM r WHERE rank <= 10""",
+    "answer_documents": _ANSWER,
     "stuff_context": f"""
 WITH {_hashed_sql('v', 'documents', 'doc_id')}, {_hashed_sql('q', 'benchmark', 'item_id')},
 dot AS (SELECT q.k AS question_id, v.k AS vec_id, sum(q.weight * v.weight) AS s FROM q JOIN v USING (dim) GROUP BY 1, 2),
