@@ -5,9 +5,11 @@ Rows carry ``scrape_id`` (the run), ``chunk_idx`` and ``pos``, so order survives
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..cluster import explode_array
 from ..functions import replies as R
@@ -75,11 +77,30 @@ def merge_listings(listings: DataFrame, fields: Sequence[str]) -> DataFrame:
 
     A plain aggregation, so repeats collapse before the shuffle and a run that holds a third of
     all rows still spreads over all tasks by its values."""
-    first = F.min(F.struct("chunk_idx", "pos")).alias("_first")
-    merged = listings.groupBy("scrape_id", *[_quoted(f) for f in fields]).agg(first)
-    return merged.select(
-        "scrape_id", "_first.chunk_idx", "_first.pos", *[_quoted(f) for f in fields]
+    pack, unpack = _position_codec(listings)
+    merged = listings.groupBy("scrape_id", *[_quoted(f) for f in fields]).agg(
+        F.min(pack).alias("_first")
     )
+    return merged.select("scrape_id", *unpack(F.col("_first")), *[_quoted(f) for f in fields])
+
+
+def _position_codec(listings: DataFrame):
+    """(chunk_idx, pos) as one number, so that its minimum is taken by a hash aggregation; the
+    minimum of a struct would sort all rows. Two INT columns fit a BIGINT, others a DECIMAL."""
+    kinds = {c: listings.schema[c].dataType for c in ("chunk_idx", "pos")}
+    chunk, pos = F.col("chunk_idx"), F.col("pos")
+    if all(kind == T.IntegerType() for kind in kinds.values()):
+        packed = F.shiftleft(chunk.cast("bigint"), 32).bitwiseOR(pos.cast("bigint"))
+        parts = lambda p: (F.shiftright(p, 32), p.bitwiseAND(F.lit(0xFFFFFFFF)))
+    else:
+        span = F.lit(Decimal(10**19)).cast("decimal(20,0)")
+        packed = (chunk.cast("decimal(18,0)") * span + pos.cast("decimal(19,0)")).cast("decimal(38,0)")
+        parts = lambda p: ((p - p % span) / span, p % span)
+
+    def unpack(first: Column) -> list[Column]:
+        return [v.cast(kinds[c]).alias(c) for c, v in zip(kinds, parts(first))]
+
+    return packed, unpack
 
 
 def _quoted(name: str):
@@ -92,10 +113,10 @@ def token_totals(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("scrape_id").agg(total("input_tokens"), total("output_tokens"))
 
 
-def run_counts(parsed: DataFrame) -> DataFrame:
+def run_counts(parsed: DataFrame, by: Sequence[str] = ("scrape_id",)) -> DataFrame:
     """Per run: chunks processed, chunks that failed, records found, tokens used."""
     bad = F.col("status").isin("failed", "invalid").cast("int")
-    return parsed.groupBy("scrape_id").agg(
+    return parsed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.sum(bad).alias("n_failed"),
         F.sum(F.size("listings")).alias("n_found"),

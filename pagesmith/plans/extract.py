@@ -43,13 +43,14 @@ class Options:
 
 
 def page_markdown(pages: DataFrame, options: Options = Options()) -> DataFrame:
-    """``scrape_id, text`` of a page table (``page_id`` names the run)."""
+    """``scrape_id, text`` (and ``model`` if given) of a page table; ``page_id`` names the run."""
     text = to_markdown(F.col("html"))
     if options.drop_urls:
         text = strip_urls(text)
     if options.max_tokens is not None:
         text = trim_to_tokens(text, options.max_tokens)
-    return pages.select(F.col("page_id").alias("scrape_id"), text.alias("text"))
+    kept = [c for c in ("model",) if c in pages.columns]
+    return pages.select(F.col("page_id").alias("scrape_id"), *kept, text.alias("text"))
 
 
 def page_prompts(pages: DataFrame, fields: Sequence[str], options: Options = Options()) -> DataFrame:
@@ -58,20 +59,22 @@ def page_prompts(pages: DataFrame, fields: Sequence[str], options: Options = Opt
     return L.build_prompts(chunks, fields)
 
 
-def extract_pages(pages: DataFrame, fields: Sequence[str], model: str, pricing: DataFrame,
+def extract_pages(pages: DataFrame, fields: Sequence[str], model: str | None, pricing: DataFrame,
                   reply: Callable[[DataFrame], DataFrame] | None = None,
                   options: Options = Options()) -> Extraction:
     """Run the job. ``reply`` maps prompt rows to reply rows (default: the offline link rule).
+    All pages use ``model``, or each its own when the page table has a ``model`` column.
 
     Parsed replies are checkpointed once: pages are read, converted and sent to the provider a
     single time, and the result tables are computed from the small checkpoint."""
     ask = reply or (lambda prompts: rule_replies(prompts, fields))
+    if "model" not in pages.columns:
+        pages = pages.withColumn("model", F.lit(model))
     answered = ask(page_prompts(pages, fields, options)).drop("text", "prompt")
     parsed = L.fill_listings(L.parse_replies(answered, fields, options.repair_json), fields)
     parsed = cut_lineage(parsed)
     merged = L.merge_listings(L.flatten_listings(parsed, fields), fields)
-    runs = L.run_counts(parsed).withColumn("model", F.lit(model))
-    totals, unpriced = price_runs(runs, pricing)
+    totals, unpriced = price_runs(L.run_counts(parsed, ("scrape_id", "model")), pricing)
     return Extraction(parsed, merged, totals, unpriced, L.failed_chunks(parsed))
 
 

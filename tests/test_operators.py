@@ -29,6 +29,12 @@ def test_merge_keeps_first_in_any_input_order(spark):
         assert rows(listings.merge_listings(merged, ["Product Name", "p"])) == expected
 
 
+def test_merge_with_large_positions(spark):
+    data = [(1, 10**17, 10**18 - 1, "x"), (1, 10**17, 10**18 - 2, "x"), (1, 3, 2**40, "y")]
+    df = spark.createDataFrame(data, "scrape_id int, chunk_idx bigint, pos bigint, a string")
+    assert rows(listings.merge_listings(df, ["a"])) == [(1, 3, 2**40, "y"), (1, 10**17, 10**18 - 2, "x")]
+
+
 def test_response_parts_split_long_runs(spark):
     data = [(1, c, p, f"{c}-{p}") for c in range(10) for p in range(3)]
     df = spark.createDataFrame(data, "scrape_id int, chunk_idx int, pos int, a string").repartition(5)
