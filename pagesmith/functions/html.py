@@ -264,7 +264,17 @@ def _sql_headings(text: str) -> str:
     return marked
 
 
-_RARE_TAGS = r"(?i)<(?:hr|em|i|code|img|td|th|tr)\b"
+def _sql_ordered(text: str) -> str:
+    """Items of ordered lists get their number; other items are left for the bullet step."""
+    item = _lit(r"(?i) ?<li\b[^>]*> ?")
+    number = f"CASE WHEN oi = 0 THEN ox ELSE concat({_lit(chr(10) + '  ')}, oi, '. ', ox) END"
+    numbered = f"array_join(transform(split(op, {item}), (ox, oi) -> {number}), '')"
+    pieces = f"split({text}, {_lit(r'(?i)(?=<ol[ >])|(?<=</ol>)')})"
+    one = f"CASE WHEN op RLIKE {_lit(r'(?i)^<ol[ >]')} THEN {numbered} ELSE op END"
+    return f"array_join(transform({pieces}, op -> {one}), '')"
+
+
+_RARE_TAGS = r"(?i)<(?:hr|em|i|code|img|td|th|tr|ol)\b"
 _RARE_STEPS = [
     (r"(?i) ?<hr\b[^>]*> ?", "\n\n* * *\n\n"),
     (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "_"),
@@ -291,8 +301,9 @@ def to_markdown(html: Column) -> Column:
     def body(v: str) -> str:
         cleaned = _sql_inert(_sql_drop(v, "header", "footer"), "head")
         marked = _sql_headings(_replace_all(cleaned, [(r"[ \t\r\n\f]+", " ")]))
-        rare = f"CASE WHEN mt RLIKE {_lit(_RARE_TAGS)} THEN {_replace_all('mt', _RARE_STEPS)} ELSE mt END"
-        text = _sql_decode(_replace_all(_let(marked, "mt", rare), _COMMON_STEPS))
+        rare = _sql_ordered(_replace_all("mt", _RARE_STEPS))
+        marked_all = f"CASE WHEN mt RLIKE {_lit(_RARE_TAGS)} THEN {rare} ELSE mt END"
+        text = _sql_decode(_replace_all(_let(marked, "mt", marked_all), _COMMON_STEPS))
         tidy = _replace_all(text, [(r"\n(?: *\n){2,}", "\n\n"), (r"\n ([^ ])", "\n$1")])
         return f"btrim({tidy}, {_lit(WHITESPACE)})"
 

@@ -55,14 +55,15 @@ def build_answer_prompt(context: Column, question: Column) -> Column:
     return F.concat(F.lit(ANSWER_PROMPT), context, F.lit("\n\nQuestion:\n"), question)
 
 
-def parse_reply(reply: Column, fields: Sequence[str]) -> Column:
+def parse_reply(reply: Column, fields: Sequence[str], arrays: Sequence[str] = ()) -> Column:
     """STRUCT<status, listings>. Status is ``ok`` (a JSON object), ``no_object`` (other valid JSON,
     no listings but tokens count) or ``invalid`` (not JSON: neither listings nor tokens count)."""
-    schema = container_schema(listing_schema(fields)).add(CORRUPT, T.StringType())
+    record = listing_schema(fields, arrays)
+    schema = container_schema(record).add(CORRUPT, T.StringType())
     parsed = F.from_json(
         reply, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return _with_status(reply, parsed, T.ArrayType(listing_schema(fields)))
+    return _with_status(reply, parsed, T.ArrayType(record))
 
 
 def parse_reply_map(reply: Column) -> Column:
@@ -109,9 +110,10 @@ def repair_reply(reply: Column, compatible: bool = False) -> Column:
     return F.when(valid | (braces < needed), reply).otherwise(F.concat(kept, F.lit("]}")))
 
 
-def fill_record(record: Column, fields: Sequence[str]) -> Column:
-    """Requested fields that are absent become empty text; order is the field list's."""
-    return F.struct(*[F.coalesce(record.getField(f), F.lit("")).alias(f) for f in fields])
+def fill_record(record: Column, fields: Sequence[str], arrays: Sequence[str] = ()) -> Column:
+    """Requested fields that are absent become empty text (or an empty array), in field order."""
+    empty = lambda f: F.array().cast("array<string>") if f in arrays else F.lit("")
+    return F.struct(*[F.coalesce(record.getField(f), empty(f)).alias(f) for f in fields])
 
 
 def fill_map(record: Column, fields: Sequence[str]) -> Column:

@@ -28,11 +28,12 @@ def build_prompts(chunks: DataFrame, fields: Sequence[str]) -> DataFrame:
     return chunks.withColumn("prompt", R.build_prompt(F.col("text"), fields))
 
 
-def parse_replies(replies: DataFrame, fields: Sequence[str], repair: bool = False) -> DataFrame:
+def parse_replies(replies: DataFrame, fields: Sequence[str], repair: bool = False,
+                  arrays: Sequence[str] = ()) -> DataFrame:
     """Adds ``status`` and ``listings``. A failed call is ``failed``; broken JSON is ``invalid``
     (after an optional repair); neither contributes listings or tokens."""
     text = R.repair_reply(F.col("reply")) if repair else F.col("reply")
-    parsed = replies.withColumn("_parsed", R.parse_reply(text, fields))
+    parsed = replies.withColumn("_parsed", R.parse_reply(text, fields, arrays))
     counted = F.col("status").isin("ok", "no_object")
     return (
         parsed.withColumn(
@@ -57,10 +58,10 @@ def failed_chunks(parsed: DataFrame) -> DataFrame:
     )
 
 
-def fill_listings(parsed: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Requested fields that a record lacks become empty text."""
+def fill_listings(parsed: DataFrame, fields: Sequence[str], arrays: Sequence[str] = ()) -> DataFrame:
+    """Requested fields that a record lacks become empty text (or an empty array)."""
     return parsed.withColumn(
-        "listings", F.transform("listings", lambda r: R.fill_record(r, fields))
+        "listings", F.transform("listings", lambda r: R.fill_record(r, fields, arrays))
     )
 
 

@@ -63,11 +63,13 @@ def rule_replies(prompts: DataFrame, fields: Sequence[str], rule=link_rule_reply
     )
 
 
-def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2) -> DataFrame:
+def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2,
+                  tasks: int | None = None) -> DataFrame:
     """Replies of a Python callable ``prompt -> (json, input_tokens, output_tokens)``.
 
     A call that still raises after its retries yields a row with ``error`` set, so that one failing
-    chunk never stops the others. Checkpoint the result before using it twice."""
+    chunk never stops the others. ``tasks`` sets how many calls are in flight at most. Checkpoint
+    the result before using it twice."""
     added = [("reply", T.StringType()), ("input_tokens", T.LongType()),
              ("output_tokens", T.LongType()), ("error", T.StringType())]
     names = [name for name, _ in added]
@@ -87,7 +89,8 @@ def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2) -> D
             answers = [ask(p) for p in batch["prompt"]]
             yield batch.assign(**{n: [a[i] for a in answers] for i, n in enumerate(names)})
 
-    return prompts.mapInPandas(run, schema)
+    spread_out = prompts if tasks is None else prompts.repartition(tasks)
+    return spread_out.mapInPandas(run, schema)
 
 
 def split_known(prompts: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -36,6 +36,7 @@ class Options:
     drop_urls: bool = False
     max_tokens: int | None = None
     repair_json: bool = False
+    array_fields: tuple[str, ...] = ()
 
     @staticmethod
     def token_limited() -> Options:
@@ -71,8 +72,8 @@ def extract_pages(pages: DataFrame, fields: Sequence[str], model: str | None, pr
     if "model" not in pages.columns:
         pages = pages.withColumn("model", F.lit(model))
     answered = ask(page_prompts(pages, fields, options)).drop("text", "prompt")
-    parsed = L.fill_listings(L.parse_replies(answered, fields, options.repair_json), fields)
-    parsed = cut_lineage(parsed)
+    parsed = L.parse_replies(answered, fields, options.repair_json, options.array_fields)
+    parsed = cut_lineage(L.fill_listings(parsed, fields, options.array_fields))
     merged = L.merge_listings(L.flatten_listings(parsed, fields), fields)
     totals, unpriced = price_runs(L.run_counts(parsed, ("scrape_id", "model")), pricing)
     return Extraction(parsed, merged, totals, unpriced, L.failed_chunks(parsed))

@@ -88,9 +88,9 @@ def test_markdown(spark):
     page = (
         "<html><head><title>t</title></head><body><header>h</header><h2>T &amp; x</h2><p>a <b>b</b> <em>c</em><br>d</p>"
         '<ul><li><a class="k" href="/x">X</a></li><li>2</li></ul><img alt="i" src="/i.png">'
-        "<table><tr><td>1</td><td>2</td></tr></table><script>var a='<p>';</script><footer>f</footer></body></html>"
+        "<ol><li>a</li><li>b</li></ol><table><tr><td>1</td><td>2</td></tr></table><script>var a='<p>';</script><footer>f</footer></body></html>"
     )
-    expected = "## T & x\n\na **b** _c_  \nd\n\n  * [X](/x)\n  * 2\n\n![i](/i.png)\n\n1 | 2"
+    expected = "## T & x\n\na **b** _c_  \nd\n\n  * [X](/x)\n  * 2\n\n![i](/i.png)\n\n  1. a\n  2. b\n\n1 | 2"
     assert value(spark, H.to_markdown(L(page))) == expected
 
 

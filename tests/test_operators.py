@@ -75,12 +75,20 @@ def test_provider_failures_are_rows(spark):
         return '{"listings":[{"a":"' + prompt[-1] + '"}]}', 3, 2
 
     prompts = spark.createDataFrame([(1, 0, "p1"), (1, 1, "bad"), (1, 2, "p3")], "scrape_id int, chunk_idx int, prompt string")
-    parsed = cut_lineage(listings.parse_replies(providers.call_provider(prompts, provider), ["a"]))
+    parsed = cut_lineage(listings.parse_replies(providers.call_provider(prompts, provider, tasks=2), ["a"]))
     assert rows(listings.failed_chunks(parsed)) == [(1, 1, "failed", "RuntimeError: no answer")]
     assert rows(listings.flatten_listings(parsed, ["a"])) == [(1, 0, 0, "1"), (1, 2, 0, "3")]
     assert rows(listings.token_totals(parsed)) == [(1, 6, 4)]
 
 
+def test_array_fields(spark):
+    data = [(1, 0, '{"listings":[{"n":"x","tags":["a","b"]},{"n":"y"}]}', 1, 1, None)]
+    df = spark.createDataFrame(data, "scrape_id int, chunk_idx int, reply string, input_tokens int, output_tokens int, error string")
+    parsed = listings.fill_listings(listings.parse_replies(df, ["n", "tags"], arrays=["tags"]), ["n", "tags"], ["tags"])
+    got = sorted(tuple(r)[3:] for r in listings.merge_listings(listings.flatten_listings(parsed, ["n", "tags"]), ["n", "tags"]).collect())
+    assert got == [("x", ["a", "b"]), ("y", [])]
+
+
 def test_known_replies_are_not_asked_again(spark):
     prompts = spark.createDataFrame([("p", "m"), ("p", "m"), ("q", "m"), ("p", "n")], "prompt string, model string")
     stored = prompts.limit(1).select(F.sha2("prompt", 256).alias("prompt_hash"), "model", F.lit("r").alias("reply"))
