@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -23,6 +24,17 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def reach_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it, whatever folder they
+    start in. On a cluster that doesn't share that folder, install the wheel instead."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table in the shared folder and go on from it.
 
