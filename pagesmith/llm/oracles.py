@@ -37,4 +37,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_gr
   NOT base_failed AND weight_sum >= -328 * n_grams AS kept FROM j
 """
 
-ORACLE = {"op5_quality_rules": QUALITY}
+URLS = """
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (SELECT row_number() OVER () AS r, page_id,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT r, page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT r, rules.host || rules.path AS rule, verdict FROM p JOIN rules
+      ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host)) AND starts_with(p.path, rules.path)),
+best AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM f GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (r)
+"""
+
+LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LEAKS = rf"""
+WITH i AS (SELECT item_id, regexp_extract_all({LOW}, '[0-9a-z[:^ascii:]]+') AS words FROM benchmark),
+iw AS (SELECT DISTINCT item_id, CAST(least(len(words), 10) AS BIGINT) AS k,
+         array_to_string(words[p : p + least(len(words), 10) - 1], ' ') AS w
+       FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS p FROM i WHERE len(words) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOW}, '[0-9a-z[:^ascii:]]+') AS words FROM documents),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (SELECT r, k, p, array_to_string(words[p : p + k - 1], ' ') AS w
+       FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS p FROM d, ks WHERE len(words) >= k)),
+h AS (SELECT r, k, p, w FROM dw WHERE w IN (SELECT w FROM iw WHERE iw.k = dw.k)),
+n AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS at FROM h) GROUP BY r),
+its AS (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h JOIN iw USING (k, w)),
+l AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM its GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN l USING (r)
+"""
+
+REPEATS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents),
+w AS (SELECT r, p, array_to_string(words[p : p + 34], ' ') AS w
+      FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS p FROM d WHERE len(words) >= 35)),
+t AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS p FROM w WHERE w IN (SELECT w FROM t)),
+k AS (SELECT r, list(p) AS gone FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE
+    list_filter(words, (x, i) -> NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+ORACLE = {
+    "op1_url_filters": URLS,
+    "op2_decontamination": LEAKS,
+    "op5_quality_rules": QUALITY,
+    "op9_substring_dedup": REPEATS,
+}

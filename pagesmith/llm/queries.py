@@ -4,15 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagesmith.llm.decontaminate import contamination
 from pagesmith.llm.oracles import ORACLE  # noqa: F401  (registered together with the queries)
 from pagesmith.llm.quality_rules import quality_scores
 from pagesmith.llm.simhash import simhash_components
+from pagesmith.llm.substrings import repeat_report
+from pagesmith.llm.url_filters import filter_urls
+
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def urls(spark, sf):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return filter_urls(_table(spark, sf, "pages"), rules)
+
+
+def benchmark_leaks(spark, sf):
+    return contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def quality(spark, sf):
     return quality_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -21,7 +38,14 @@ def near_duplicates(spark, sf):
     return simhash_components(_table(spark, sf, "documents"))
 
 
+def repeated_passages(spark, sf):
+    return repeat_report(_table(spark, sf, "documents"))
+
+
 QUERIES = {
+    "op1_url_filters": urls,
+    "op2_decontamination": benchmark_leaks,
     "op5_quality_rules": quality,
     "op8_simhash": near_duplicates,
+    "op9_substring_dedup": repeated_passages,
 }
