@@ -43,30 +43,31 @@ def count_words(text: Column) -> Column:
     return F.size(found).cast("long")
 
 
+def _window(words: str, at: Column, k: int) -> Column:
+    """``k`` words from place ``at`` on, joined. Single elements are read, as ``slice`` copies the whole
+    array every time."""
+    return F.concat_ws(" ", *[F.get(F.col(words), at + i) for i in range(k)])
+
+
 def item_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """``item_id, k, h, w``: every item's windows, with their number of words and their hash."""
     rows = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where("size(words) > 0")
-    k = F.least(F.size("words"), F.lit(size))
-    rows = rows.select("item_id", "words", k.alias("k"), F.explode(F.sequence(F.lit(1), F.size("words") - k + 1)).alias("at"))
-    window = F.slice("words", F.col("at"), F.col("k"))
-    rows = rows.select("item_id", "k", window.alias("window"))
-    hashes = reduce(lambda other, n: F.when(F.col("k") == n, _hash("window", F.lit(0), n)).otherwise(other),
-                    range(1, size + 1), F.lit(None).cast("long"))
-    return rows.select("item_id", "k", hashes.alias("h"), F.array_join("window", " ").alias("w")).distinct()
-
-
-def _hash(words: str, at: Column, k: int) -> Column:
-    return F.xxhash64(*[F.get(F.col(words), at + i) for i in range(k)])
+    n = F.size("words")
+    rows = rows.select("item_id", "words", F.least(n, F.lit(size)).alias("k"), F.explode(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))).alias("at"))
+    window = F.when(F.size("words") < size, F.array_join("words", " ")).otherwise(_window("words", F.col("at"), size))
+    return rows.select("item_id", "k", window.alias("w")).distinct().select("item_id", "k", F.xxhash64("w").alias("h"), "w")
 
 
 def _found(rows: DataFrame, k: int, hashes: list[int]) -> DataFrame:
-    """``_id, _hash, at, k, h, w``: document windows of ``k`` words whose hash is one of ``hashes``."""
-    rows = rows.where(F.size("words") >= k)
-    every = F.transform(F.sequence(F.lit(0), F.size("words") - k), lambda i: F.struct(i.alias("at"), _hash("words", i, k).alias("h")))
-    some = F.filter(every, lambda x: x["h"].isin(hashes))
-    hit = rows.select("_id", "_hash", "words", some.alias("some")).select("_id", "_hash", F.transform(
-        "some", lambda x: F.struct(x["at"].alias("at"), x["h"].alias("h"), F.array_join(F.slice("words", x["at"] + 1, F.lit(k)), " ").alias("w"))).alias("some"))
-    return hit.select("_id", "_hash", F.inline("some")).select("_id", "_hash", "at", F.lit(k).alias("k"), "h", "w")
+    """``_id, _hash, at, k, w``: document windows of ``k`` words whose hash is one of ``hashes``. No filter
+    stands on what is computed here: it would be pushed down and computed twice."""
+    every = F.transform(F.sequence(F.lit(0), F.size("words") - k), lambda i: F.struct(
+        i.alias("at"), F.xxhash64(_window("words", i, k)).alias("h")))
+    some = F.filter(F.when(F.size("words") >= k, every), lambda x: x["h"].isin(hashes))
+    sought = rows.select("_id", "_hash", "words", some.alias("some"))
+    windows = F.transform("some", lambda x: F.struct(x["at"].alias("at"), _window("words", x["at"], k).alias("w")))
+    hit = sought.select("_id", "_hash", F.inline_outer(windows)).where("at IS NOT NULL")
+    return hit.select("_id", "_hash", "at", F.lit(k).alias("k"), "w")
 
 
 def hits(docs: DataFrame, windows: DataFrame, round_size: int = ROUND) -> DataFrame:

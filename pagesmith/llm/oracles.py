@@ -61,8 +61,8 @@ d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOW}, '[0-9a
 ks AS (SELECT DISTINCT k FROM iw),
 dw AS (SELECT r, k, p, array_to_string(words[p : p + k - 1], ' ') AS w
        FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS p FROM d, ks WHERE len(words) >= k)),
-h AS (SELECT r, k, p, w FROM dw WHERE w IN (SELECT w FROM iw WHERE iw.k = dw.k)),
-n AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS at FROM h) GROUP BY r),
+h AS (SELECT r, k, p, w FROM dw WHERE (k, w) IN (SELECT (k, w) FROM iw)),
+n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS place FROM h) GROUP BY r),
 its AS (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h JOIN iw USING (k, w)),
 l AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM its GROUP BY r)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
@@ -80,7 +80,7 @@ gone AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS p FROM w WHERE w IN (SEL
 k AS (SELECT r, list(p) AS gone FROM gone GROUP BY r)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE
-    list_filter(words, (x, i) -> NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+    list_filter(words, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
 """
 
