@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pagesmith.llm.decontaminate import contamination
 from pagesmith.llm.oracles import ORACLE  # noqa: F401  (registered together with the queries)
+from pagesmith.llm.packing import pack
 from pagesmith.llm.quality_rules import quality_scores
 from pagesmith.llm.simhash import simhash_components
 from pagesmith.llm.substrings import repeat_report
+from pagesmith.llm.token_files import token_round_trip
 from pagesmith.llm.url_filters import filter_urls
 
 URL_RULES = (
@@ -42,10 +45,20 @@ def repeated_passages(spark, sf):
     return repeat_report(_table(spark, sf, "documents"))
 
 
+def token_files(spark, sf):
+    return token_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+def packed(spark, sf):
+    return pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES = {
     "op1_url_filters": urls,
     "op2_decontamination": benchmark_leaks,
+    "op4_token_files": token_files,
     "op5_quality_rules": quality,
     "op8_simhash": near_duplicates,
     "op9_substring_dedup": repeated_passages,
+    "op10_packing": packed,
 }

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from pagesmith.cluster import cut_lineage
-from pagesmith.llm.common import Rows, clean, keyed
+from pagesmith.llm.common import clean, keyed, with_key
 from pagesmith.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -205,3 +205,12 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     return found.select(
         clean(F.col("_id")).alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         clean(F.col("component")).alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """The document with the smallest id of each component, all columns as they were; of rows that share
+    that id the one with the smallest text hash, of repeated rows one."""
+    found = near_components(docs, shingle, radius, seed)
+    first = found.groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("first")).select("first.*").distinct()
+    kept = with_key(docs).join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
