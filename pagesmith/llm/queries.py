@@ -5,13 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pagesmith.llm.arc_warc import archive_round_trip
 from pagesmith.llm.decontaminate import contamination
+from pagesmith.llm.importance import resample
 from pagesmith.llm.oracles import ORACLE  # noqa: F401  (registered together with the queries)
 from pagesmith.llm.packing import pack
 from pagesmith.llm.quality_rules import quality_scores
 from pagesmith.llm.simhash import simhash_components
 from pagesmith.llm.substrings import repeat_report
 from pagesmith.llm.token_files import token_round_trip
+from pagesmith.llm.trie_counts import token_counts
 from pagesmith.llm.url_filters import filter_urls
 
 URL_RULES = (
@@ -53,11 +56,26 @@ def packed(spark, sf):
     return pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def importance_sample(spark, sf):
+    return resample(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def unigram_counts(spark, sf):
+    return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def archives(spark, sf):
+    return archive_round_trip(_table(spark, sf, "pages"))
+
+
 QUERIES = {
     "op1_url_filters": urls,
     "op2_decontamination": benchmark_leaks,
+    "op3_importance_resampling": importance_sample,
     "op4_token_files": token_files,
     "op5_quality_rules": quality,
+    "op6_arc_to_warc": archives,
+    "op7_token_counts": unigram_counts,
     "op8_simhash": near_duplicates,
     "op9_substring_dedup": repeated_passages,
     "op10_packing": packed,
