@@ -259,7 +259,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     texts = keyed(docs)
     anchors = cut_lineage(texts.mapInArrow(
         _anchors(window, gram), "_id long, _hash long, first int, n int, anchor long, digest long"))
-    often = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # written, so that both sides of the join come straight from a shuffle and a hot anchor can be split
+    often = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"))
     shared = cut_lineage(anchors.join(often, "anchor"))
     pieces = shared.groupBy("anchor", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("_id", "_hash", "first", "n")).alias("at"))
