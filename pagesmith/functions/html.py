@@ -158,6 +158,36 @@ def _sql_close(rest: str, tag: str) -> str:
     return _let(f"split({rest}, {border})", "zp", f"array_join(slice(zp, 1, {taken}), '')")
 
 
+def _sql_closed(rest: str, tag: str) -> str:
+    """Like :func:`_sql_close`, but empty when the element's closing tag never comes."""
+    border = f"concat({_lit('(?i)(?=</?')}, {tag}, {_lit(_TAG_END)})"
+    depth = "ya.depth + if(startswith(ys, '</'), -1, 1)"
+    closed = f"(ya.closed OR {depth} = 0)"
+    step = (
+        f"named_struct('depth', {depth}, 'taken', ya.taken + if({closed}, 0, 1), 'closed', {closed})"
+    )
+    start = "named_struct('depth', 0, 'taken', 0, 'closed', false)"
+    body = "CASE WHEN yr.closed THEN array_join(slice(yp, 1, yr.taken), '') ELSE '' END"
+    counted = _let(f"aggregate(yp, {start}, (ya, ys) -> {step})", "yr", body)
+    return _let(f"split({rest}, {border})", "yp", counted)
+
+
+def _sql_own_element(piece: str, rest: str) -> str:
+    """The element that ``piece`` and ``rest`` start with. ``piece`` ends where the next match starts;
+    if the element's closing tag isn't in it, or other elements of its name are, it is looked for in
+    all that follows. An element that is never closed ends with its piece."""
+    void = _lit(rf"(?i)^<(?:{'|'.join(VOID_TAGS)})(?=[\s/>])")
+    flat = _lit(rf"(?is)^(<({_ANY_TAG})(?=[\s/>])[^>]*>.*?)</\2\s*>")
+    tag = f"regexp_extract({piece}, {_lit(f'^<({_ANY_TAG})')}, 1)"
+    nested = f"contains(lower(substring(ob, 2)), concat('<', lower({tag})))"
+    whole = _let(_sql_closed(rest, tag), "ow", f"CASE WHEN ow <> '' THEN ow ELSE {_sql_close(piece, tag)} END")
+    body = f"CASE WHEN ob = '' OR {nested} THEN {whole} ELSE ob END"
+    return (
+        f"CASE WHEN {piece} RLIKE {void} THEN regexp_extract({piece}, '^<[^>]*>', 0) "
+        f"ELSE {_let(f'regexp_extract({piece}, {flat}, 1)', 'ob', body)} END"
+    )
+
+
 def _sql_element(rest: str) -> str:
     """Opening tag plus body of the element that ``rest`` starts with (closing tag left off)."""
     void = _lit(rf"(?i)^<(?:{'|'.join(VOID_TAGS)})(?=[\s/>])")
@@ -173,12 +203,15 @@ def _sql_element(rest: str) -> str:
 
 def find_elements(html: Column, tag: str | None = None, cls: str | None = None,
                   element_id: str | None = None) -> Column:
-    """ARRAY of all matching elements in page order, each cut at its own closing tag."""
+    """ARRAY of all matching elements in page order, each from its own start to its own closing tag,
+    so a match inside another match is part of the outer one and an element of its own."""
     start = _start_tag(tag, cls, element_id=element_id)
 
     def body(v: str) -> str:
-        hits = f"filter(split({v}, {_lit(f'(?={start})')}), fs -> fs RLIKE {_lit('^' + start)})"
-        return f"transform({hits}, fe -> {_sql_element('fe')})"
+        rest = "array_join(slice(fp, fi + 1, size(fp)), '')"
+        one = f"CASE WHEN fe RLIKE {_lit('^' + start)} THEN {_sql_own_element('fe', rest)} END"
+        found = f"filter(transform(fp, (fe, fi) -> {one}), fs -> fs IS NOT NULL)"
+        return _let(f"split({v}, {_lit(f'(?={start})')})", "fp", found)
 
     return bind(html, body)
 

@@ -76,19 +76,25 @@ def parse_reply_map(reply: Column) -> Column:
     return _with_status(reply, parsed, T.ArrayType(record))
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is one whole JSON value, of any size and with repeated keys allowed.
+
+    The parser stops after the first value, so the text is read inside an array and inside an object:
+    what follows a value breaks at least one of them, or makes it longer than one value."""
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    in_object = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
+    return F.coalesce(in_array & in_object, F.lit(False))
+
+
 def _with_status(reply: Column, parsed: Column, listings: T.ArrayType) -> Column:
-    is_json = F.try_parse_json(reply).isNotNull()
-    status = (
-        F.when(reply.isNull() | ~is_json, "invalid")
-        .when(parsed[CORRUPT].isNotNull(), "no_object")
-        .otherwise("ok")
-    )
-    return F.struct(
-        status.alias("status"),
-        F.when(status == "ok", F.coalesce(parsed["listings"], F.array().cast(listings)))
-        .otherwise(F.array().cast(listings))
-        .alias("listings"),
-    )
+    none = F.array().cast(listings)
+
+    def judged(p: Column) -> Column:
+        status = F.when(~is_json(reply), "invalid").when(p[CORRUPT].isNotNull(), "no_object").otherwise("ok")
+        found = F.when(status == "ok", F.coalesce(p["listings"], none)).otherwise(none)
+        return F.struct(status.alias("status"), found.alias("listings"))
+
+    return F.get(F.transform(F.array(parsed), judged), F.lit(0))  # parsed once
 
 
 def repair_reply(reply: Column, compatible: bool = False) -> Column:
@@ -106,7 +112,7 @@ def repair_reply(reply: Column, compatible: bool = False) -> Column:
         tail = F.substring_index(reply, "}", -1)
         kept = F.substring(reply, F.lit(1), F.length(reply) - F.length(tail))
         needed = 1
-    valid = F.try_parse_json(reply).isNotNull()
+    valid = is_json(reply)
     return F.when(valid | (braces < needed), reply).otherwise(F.concat(kept, F.lit("]}")))
 
 
@@ -130,9 +136,9 @@ def unwrap_container(reply: Column) -> Column:
     other object gives itself, everything else is an ``error``."""
     trimmed = F.trim(reply)
     keys = F.json_object_keys(trimmed)
-    is_json = F.try_parse_json(trimmed).isNotNull()
-    is_list = is_json & trimmed.startswith("[")
-    is_object = is_json & trimmed.startswith("{")
+    whole = is_json(trimmed)
+    is_list = whole & trimmed.startswith("[")
+    is_object = whole & trimmed.startswith("{")
     only = F.element_at(F.map_values(F.from_json(trimmed, "map<string,string>")), 1)
     kind = (
         F.when(is_list, "list")

@@ -166,12 +166,13 @@ def take_target(cards: DataFrame, target: int) -> DataFrame:
     )
 
 
-def target_shortfall(cards: DataFrame, target: int) -> DataFrame:
-    """Per page: cards found, how many are missing to the target, and the loaded fraction."""
-    found = F.least(F.count(F.lit(1)), F.lit(target))
+def target_shortfall(pages: DataFrame, spec: CardSpec, target: int) -> DataFrame:
+    """Per page, also one without a card: cards found, how many are missing to the target, and the
+    loaded fraction. Counted in each page's row; nothing is shuffled."""
+    found = F.size(H.find_elements(H.strip_inert(F.col("html")), spec.tag, spec.cls))
     return (
-        cards.groupBy("page_id")
-        .agg(F.count(F.lit(1)).alias("n_found"), found.alias("n_taken"))
+        pages.select("page_id", found.cast("bigint").alias("n_found"))
+        .withColumn("n_taken", F.least("n_found", F.lit(target)))
         .withColumn("shortfall", F.lit(target) - F.col("n_taken"))
         .withColumn("progress", F.col("n_taken") / F.lit(float(target)))
     )

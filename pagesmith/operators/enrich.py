@@ -19,7 +19,8 @@ FEATURED_LIMIT = 5
 def enrich_featured(projects: DataFrame, pages: DataFrame, limit: int = FEATURED_LIMIT,
                     chars: int = 1000) -> DataFrame:
     """Attach a text preview of the linked page to the first project of each of the first
-    ``limit`` featured URLs. Every broadcast side has at most ``limit`` rows."""
+    ``limit`` featured URLs. Of a URL stored more than once the page with the largest id counts, so
+    every broadcast side has at most ``limit`` rows."""
     chosen = (
         projects.where(F.col("featured") & (F.col("url") != ""))
         .orderBy("page_id", "position")
@@ -29,13 +30,11 @@ def enrich_featured(projects: DataFrame, pages: DataFrame, limit: int = FEATURED
     )
     first = F.min(F.struct("page_id", "position")).alias("at")
     holders = projects.join(F.broadcast(chosen), "url").groupBy("url").agg(first)
-    texts = (
-        pages.select("url", "html")
-        .join(F.broadcast(holders), "url")
-        .select(
-            F.col("at.page_id").alias("page_id"), F.col("at.position").alias("position"),
-            preview(to_text(F.col("html")), chars).alias("detailed_content"),
-        )
+    stored = pages.select("url", "html", F.col("page_id").alias("_stored")).join(F.broadcast(holders), "url")
+    latest = stored.groupBy("url", "at").agg(F.max_by("html", "_stored").alias("html"))  # a URL may be stored again
+    texts = latest.select(
+        F.col("at.page_id").alias("page_id"), F.col("at.position").alias("position"),
+        preview(to_text(F.col("html")), chars).alias("detailed_content"),
     )
     return projects.join(F.broadcast(texts), ["page_id", "position"], "left")
 

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import salted_lookup
+from ..cluster import cut_lineage, salted_lookup
 
-ROWS_PER_BLOCK = 1_000_000
 
 
 def lookup(requests: DataFrame, items: DataFrame, key: str = "id") -> DataFrame:
@@ -19,13 +18,14 @@ def lookup(requests: DataFrame, items: DataFrame, key: str = "id") -> DataFrame:
     return out.withColumn("found", F.col("_hit").isNotNull()).drop("_hit")
 
 
-def consecutive_numbers(rows: DataFrame, order: str, name: str = "number",
-                        block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Number rows 1..n by a unique integer column without one global sort task.
+def consecutive_numbers(rows: DataFrame, order: str, name: str = "number") -> DataFrame:
+    """Number rows 1..n by a unique column without one global sort task.
 
-    Rows fall into blocks of the order column (at most ``block`` rows each, as it is unique); only
-    the block counts are summed up in order, then every block numbers its own rows."""
-    blocked = rows.withColumn("_block", F.floor(F.col(order) / F.lit(block)).cast("bigint"))
+    Rows are dealt into ranges of the order column, whatever its values (dense, sparse or hashed);
+    only the ranges' counts are summed up in order, then every range numbers its own rows. The ranges
+    are written down, so that all steps see the same ones."""
+    dealt = rows.repartitionByRange(order)
+    blocked = cut_lineage(dealt.withColumn("_block", F.spark_partition_id().cast("bigint")))
     counts = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -39,10 +39,10 @@ def consecutive_numbers(rows: DataFrame, order: str, name: str = "number",
     )
 
 
-def append(items: DataFrame, incoming: DataFrame, order: str, block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, DataFrame]:
+def append(items: DataFrame, incoming: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
     """(new rows, rejects): ids go on from the last one (1 in an empty table); name is required."""
     named = F.col("name").isNotNull() & (F.col("name") != "")
-    numbered = consecutive_numbers(incoming.where(named), order, "_number", block)
+    numbered = consecutive_numbers(incoming.where(named), order, "_number")
     last = items.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     columns = [c for c in items.columns if c != "id"]
     return (
@@ -51,10 +51,14 @@ def append(items: DataFrame, incoming: DataFrame, order: str, block: int = ROWS_
     )
 
 
-def update(items: DataFrame, changes: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def update(items: DataFrame, changes: DataFrame, columns: Sequence[str],
+           order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(items after the update, rejected changes): given values replace, NULLs keep the old value.
-    ``changes`` has one row per id."""
-    renamed = changes.select("id", *[F.col(c).alias(f"_new_{c}") for c in columns])
+
+    Of several changes of an id, each column takes the last value given, by the ``order`` column;
+    without one, the largest. So an item stays one row."""
+    given = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))) if order else F.max(c)
+    renamed = changes.groupBy("id").agg(*[given(c).alias(f"_new_{c}") for c in columns])
     new: dict[str, Column] = {c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in columns}
     updated = items.join(renamed, "id", "left").withColumns(new)
     unknown = changes.join(items.select("id"), "id", "left_anti")

@@ -64,6 +64,8 @@ def class_text(html: Column, classes: Sequence[str], joiner: str = "") -> Column
 def table_rows(pages: DataFrame, element_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, rejects, pages without the table) of the table with an element id.
 
+    A row's ``cells`` are (header, cell) pairs in page order, as headers may be empty or repeat.
+
     The header is the text of all ``th`` cells, rows are the ``tr`` elements after the first, empty
     rows are dropped, and a row whose cell count differs from the header's is a reject."""
     texts = lambda cells: F.transform(cells, lambda c: strip_ws(H.text_content(c)))
@@ -86,9 +88,8 @@ def table_rows(pages: DataFrame, element_id: str) -> tuple[DataFrame, DataFrame,
         .where(F.size("cells") > 0)
     )
     fits = F.size("cells") == F.size("headers")
-    good = rows.where(fits).select(
-        "page_id", "row_idx", F.map_from_arrays("headers", "cells").alias("cells")
-    )
+    cell = F.zip_with("headers", "cells", lambda h, c: F.struct(h.alias("header"), c.alias("cell")))
+    good = rows.where(fits).select("page_id", "row_idx", cell.alias("cells"))
     bad = rows.where(~fits).select(
         "page_id", "row_idx",
         F.concat_ws("/", F.size("cells"), F.size("headers")).alias("cells_of_headers"),
@@ -97,8 +98,10 @@ def table_rows(pages: DataFrame, element_id: str) -> tuple[DataFrame, DataFrame,
 
 
 def widen(rows: DataFrame, headers: Sequence[str]) -> DataFrame:
-    """Long table rows -> one column per declared header. A projection; nothing is shuffled."""
-    cell = lambda h: F.try_element_at("cells", F.lit(h)).alias(h)
+    """Long table rows -> one column per declared header (the first of that name; headers may repeat).
+    A projection; nothing is shuffled."""
+    named = lambda h: F.filter("cells", lambda c: c["header"] == h)
+    cell = lambda h: F.get(named(h), F.lit(0))["cell"].alias(h)
     return rows.select("page_id", "row_idx", *[cell(h) for h in headers])
 
 

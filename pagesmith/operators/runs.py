@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,33 +25,34 @@ def listing_records(merged: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def store_runs(folder: str, metadata: DataFrame, listings: DataFrame, token_costs: DataFrame,
-               files_per_date: int = 16) -> None:
-    """Write the batch below ``folder``, partitioned by ``run_date``.
+def store_runs(folder: str, batch_id: str, metadata: DataFrame, listings: DataFrame,
+               token_costs: DataFrame) -> None:
+    """Write a batch to its own folder in each table below ``folder``, partitioned by ``run_date``.
 
-    Rows of a date are dealt by run over ``files_per_date`` tasks and sorted by run, so no date is
-    one task's work, a date holds few files, and the lookup of a run skips most row groups.
+    Other batches are never touched, also not those of the same day; a batch that is repeated, even
+    with fewer rows, replaces just itself. The rows of a date are dealt by what they hold over as many
+    tasks as their bytes need (a huge date or run is split, small dates share a task) and sorted by
+    run, so the lookup of a run skips most row groups.
 
-    Only the run dates present in the batch are replaced, so a batch that is repeated after a
-    failure leaves the same rows. Children are written first: a run becomes visible with its
-    metadata row, when everything that belongs to it is already there."""
+    Children are written first: a run becomes visible with its metadata row, when everything that
+    belongs to it is already there."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError("a batch id has letters, digits, '.', '_' and '-' only")
     batch = {"listings": listings, "token_costs": token_costs, "scrape_metadata": metadata}
     for name, rows in batch.items():
         run = "id" if name == "scrape_metadata" else "scrape_id"
-        deal = F.pmod(F.xxhash64(run), F.lit(files_per_date))
         (
-            rows.repartition(F.col("run_date"), deal)
+            rows.hint("rebalance", "run_date")
             .sortWithinPartitions("run_date", run)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("run_date")
-            .parquet(f"{folder}/{name}")
+            .parquet(f"{folder}/{name}/batch_id={batch_id}")
         )
 
 
 def read_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(metadata, listings, token_costs) of a folder written by :func:`store_runs`."""
-    return tuple(spark.read.parquet(f"{folder}/{name}") for name in TABLES)
+    return tuple(spark.read.parquet(f"{folder}/{name}").drop("batch_id") for name in TABLES)
 
 
 def orphans(children: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,8 @@ TOP_K = 4
 # Up to this many questions are sent to all tasks at once; beyond it both sides are cut in blocks.
 MAX_SHARED_QUESTIONS = 4096
 VECTORS_PER_BLOCK = 50_000
-QUESTIONS_PER_STEP = 256
+# Distances bounded at once in a task.
+PAIRS_PER_STEP = 4_000_000
 # Distances are compared to nine digits, so equal vectors tie and the tie goes to the smaller id.
 DIGITS = 9
 
@@ -27,32 +28,33 @@ RESULT = "question_id bigint, vec_id bigint, distance double"
 # --- embeddings --------------------------------------------------------------------------------
 
 
+def embedding(text: str | Column, dims: int = 64) -> Column:
+    """Bag-of-words vector of a text, of unit length; all zeros for a text without a word.
+
+    Words are runs of letters and digits of any script; a word's dimension comes from its MD5. It is an
+    expression of the row alone: nothing is exploded, shuffled or joined."""
+    lower = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    words = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    code = lambda w: F.conv(F.substring(F.md5(w), 1, 3), 16, 10).cast("int") % dims
+    every = F.sequence(F.lit(0), F.lit(dims - 1))
+    # a place in the sorted codes, found from both ends, would need more passes than counting
+    counted = F.transform(F.array(F.transform(words, code)), lambda codes: F.transform(
+        every, lambda d: F.size(F.filter(codes, lambda c: c == d)).cast("double")))
+    unit = F.transform(counted, lambda n: F.transform(F.array(F.sqrt(F.aggregate(
+        n, F.lit(0.0), lambda total, x: total + x * x))), lambda length: F.transform(
+            n, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0)))))
+    return F.get(F.get(unit, F.lit(0)), F.lit(0))
+
+
 def hashed_words(texts: DataFrame, key: str, text: str = "text", dims: int = 64) -> DataFrame:
-    """Sparse bag-of-words vectors: ``key, dim, weight`` with unit length per text.
-
-    A word's dimension comes from its MD5. Words are counted per (text, dimension) before the
-    shuffle; the only per-text group afterwards is at most ``dims`` rows."""
-    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[a-z0-9]+"), F.lit(0))
-    code = F.conv(F.substring(F.md5("word"), 1, 3), 16, 10).cast("int")
-    counts = (
-        explode_array(texts, [key], words, "word")
-        .groupBy(key, (code % dims).alias("dim"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    length = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(key)))
-    return counts.select(key, "dim", (F.col("n") / length).alias("weight"))
-
-
-def dense(sparse: DataFrame, key: str, dims: int = 64) -> DataFrame:
-    """``key, dim, weight`` -> ``key, embedding`` with ``dims`` entries (bounded groups)."""
-    cells = F.map_from_entries(F.collect_list(F.struct("dim", "weight")))
-    return sparse.groupBy(key).agg(cells.alias("_cells")).select(
-        key,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(dims - 1)),
-            lambda d: F.coalesce(F.try_element_at("_cells", d), F.lit(0.0)),
-        ).alias("embedding"),
-    )
+    """Sparse form of :func:`embedding`: ``key, dim, weight``, no row for a text without a word."""
+    cells = explode_array(texts, [key], embedding(text, dims), "weight", "dim")
+    return cells.where("weight > 0").select(key, "dim", "weight")
+
+
+def embedded(texts: DataFrame, key: str, text: str = "text", dims: int = 64) -> DataFrame:
+    """``key, embedding`` of every text, also of those without words."""
+    return texts.select(key, embedding(text, dims).alias("embedding"))
 
 
 def embed_with(chunks: DataFrame, provider: Callable[[list[str]], Sequence[Sequence[float]]],
@@ -77,22 +79,41 @@ def embed_with(chunks: DataFrame, provider: Callable[[list[str]], Sequence[Seque
 def _nearest(q_ids, q_vecs, v_ids, v_vecs, k: int) -> pd.DataFrame:
     """The k nearest vectors of every question within one block.
 
-    A matrix product picks candidates with some slack; their distances are then computed exactly."""
-    norms = (v_vecs**2).sum(1)[None, :]
+    A matrix product bounds all distances, each with the slack that its own two lengths call for, so one
+    long vector doesn't loosen the bounds of the others. Candidates are worked out exactly in slices, and
+    equal vectors are cut down to the k smallest ids beforehand: memory stays bounded under any ties."""
+    v_vecs, v_ids = _first_of_equals(v_vecs, v_ids, k)
+    norms = (v_vecs**2).sum(1)
     kth = min(k, len(v_ids)) - 1
+    step = max(1, PAIRS_PER_STEP // len(v_ids))
     parts = []
-    for start in range(0, len(q_ids), QUESTIONS_PER_STEP):
-        ids, vecs = q_ids[start : start + QUESTIONS_PER_STEP], q_vecs[start : start + QUESTIONS_PER_STEP]
-        rough = (vecs**2).sum(1)[:, None] - 2.0 * (vecs @ v_vecs.T) + norms
-        slack = 1e-6 * (1.0 + np.abs(rough).max())
-        bound = np.partition(rough, kth, axis=1)[:, kth] + slack
-        rows, cols = np.nonzero(rough <= bound[:, None])
-        exact = ((vecs[rows] - v_vecs[cols]) ** 2).sum(1).round(DIGITS)
-        found = pd.DataFrame({"question_id": ids[rows], "vec_id": v_ids[cols], "distance": exact})
+    for start in range(0, len(q_ids), step):
+        ids, vecs = q_ids[start : start + step], q_vecs[start : start + step]
+        own = (vecs**2).sum(1)[:, None]
+        slack = 1e-9 + 1e-12 * (own + norms[None, :])
+        rough = own - 2.0 * (vecs @ v_vecs.T) + norms[None, :]
+        bound = np.partition(rough + slack, kth, axis=1)[:, kth]
+        rows, cols = np.nonzero(rough - slack <= bound[:, None])
+        exact = np.empty(len(rows))
+        for i in range(0, len(rows), 1 << 14):
+            part = slice(i, i + (1 << 14))
+            exact[part] = ((vecs[rows[part]] - v_vecs[cols[part]]) ** 2).sum(1)
+        found = pd.DataFrame({"question_id": ids[rows], "vec_id": v_ids[cols], "distance": exact.round(DIGITS)})
         parts.append(_best(found, k))
     return pd.concat(parts)
 
 
+def _first_of_equals(vecs: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors, those with the k smallest ids; the others can't be among the k nearest."""
+    raw = np.ascontiguousarray(vecs + 0.0).view(np.dtype((np.void, vecs.shape[1] * 8))).reshape(-1)
+    order = np.lexsort((ids, np.unique(raw, return_inverse=True)[1]))
+    group = np.unique(raw, return_inverse=True)[1][order]
+    first = np.concatenate([[True], group[1:] != group[:-1]])
+    place = np.arange(len(group)) - np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
+    kept = order[place < k]
+    return vecs[kept], ids[kept]
+
+
 def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
     ordered = found.sort_values(["question_id", "distance", "vec_id"], kind="stable")
     return ordered.groupby("question_id", sort=False).head(k)

@@ -9,7 +9,7 @@ from ..cluster import cut_lineage
 from ..functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE
 from ..functions.replies import build_answer_prompt
 from ..operators.listings import chunk_rows
-from ..operators.vectors import TOP_K, dense, hashed_words, stuff_context, vector_topk
+from ..operators.vectors import TOP_K, embedded, embedding, stuff_context, vector_topk
 
 
 # More chunks than the longest possible text value can give.
@@ -25,13 +25,12 @@ def index_documents(documents: DataFrame, size: int = CHUNK_SIZE,
     chunks = chunk_rows(documents.select("doc_id", "text"), size, overlap)
     packed = F.col("doc_id") * F.lit(MAX_CHUNKS).cast("bigint") + F.col("chunk_idx")
     keyed = chunks.withColumn("vec_id", packed)
-    vectors = dense(hashed_words(keyed, "vec_id"), "vec_id")
-    return cut_lineage(keyed.join(vectors, "vec_id"))
+    return cut_lineage(keyed.withColumn("embedding", embedding("text")))
 
 
 def answer_prompts(index: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
     """``question_id, question`` -> ``question_id, prompt`` with the k nearest chunks as context."""
-    asked = dense(hashed_words(questions, "question_id", "question"), "question_id")
+    asked = embedded(questions, "question_id", "question")
     context = stuff_context(vector_topk(index, asked, k), index)
     return context.join(questions, "question_id").select(
         "question_id", build_answer_prompt(F.col("context"), F.col("question")).alias("prompt")

@@ -138,8 +138,10 @@ def take_target_filtered(spark, sf):
 
 
 def target_shortfall(spark, sf):
-    cards = C.split_cards(deal_pages(spark, sf), C.DEAL_CARD)
-    return C.target_shortfall(cards, 25)
+    """Every fifth page comes again under another id, with no card on it."""
+    pages = deal_pages(spark, sf).select("page_id", "html")
+    bare = pages.where("page_id % 5 = 0").select(F.col("page_id") + 1_000_000, F.lit("<p>none</p>").alias("html"))
+    return C.target_shortfall(pages.union(bare), C.DEAL_CARD, 25)
 
 
 SEARCH_WORD = "RING"
@@ -259,7 +261,8 @@ WITH {DEALS_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER
 SELECT page_id, position, product_name FROM k WHERE rn <= 7""",
     "target_shortfall": """
 SELECT p_partkey // 20 AS page_id, count(*) AS n_found, least(count(*), 25) AS n_taken, 25 - least(count(*), 25) AS shortfall,
-       least(count(*), 25) / 25.0 AS progress FROM part GROUP BY 1""",
+       least(count(*), 25) / 25.0 AS progress FROM part GROUP BY 1
+UNION ALL SELECT DISTINCT p_partkey // 20 + 1000000, 0, 0, 25, 0.0 FROM part WHERE p_partkey // 20 % 5 = 0""",
     "search_fallback": f"""
 WITH {DEALS_SQL} SELECT p_brand AS store,
        CASE WHEN CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) <= 12 THEN 'store' ELSE 'global' END AS origin,

@@ -26,13 +26,15 @@ def _round(rows, *names):
 
 
 def store_run(spark, sf):
-    """Write all runs as one batch and read them back."""
+    """Two batches with runs of the same days, the first of them stored again; all are read back."""
     folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
     metadata, listings, costs = run_tables(spark, sf)
     day = metadata.select(F.col("id").alias("scrape_id"), F.to_date("timestamp").alias("run_date"))
     dated = [metadata.withColumn("run_date", F.to_date("timestamp"))]
     dated += [rows.join(day, "scrape_id") for rows in (listings, costs)]
-    R.store_runs(folder, *dated, files_per_date=2)
+    ids = ("id", "scrape_id", "scrape_id")
+    for batch, rest in (("odd", 1), ("even", 0), ("odd", 1)):
+        R.store_runs(folder, batch, *[rows.where(F.col(i) % 2 == rest) for rows, i in zip(dated, ids, strict=True)])
     stored, stored_listings, stored_costs = R.read_runs(spark, folder)
     counts = [
         stored.groupBy("run_date").agg(F.count(F.lit(1)).alias("n_runs")),

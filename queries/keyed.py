@@ -22,7 +22,7 @@ def _appended(spark, sf):
     incoming = table(spark, sf, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("name"), F.col("c_mktsegment").alias("description")
     )
-    return K.append(items, incoming, "c_custkey", block=100)
+    return K.append(items, incoming, "c_custkey")
 
 
 def items_append(spark, sf):

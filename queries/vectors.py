@@ -59,14 +59,14 @@ def _benchmark_questions(spark, sf):
 
 def _document_vectors(spark, sf):
     docs = _documents(spark, sf).withColumnRenamed("doc_id", "vec_id")
-    return docs, V.dense(V.hashed_words(docs, "vec_id"), "vec_id")
+    return docs, V.embedded(docs, "vec_id")
 
 
 def stuff_context(spark, sf):
     """Whole documents as chunks: the four nearest to each benchmark text, as a filled prompt."""
     docs, vectors = _document_vectors(spark, sf)
     questions = _benchmark_questions(spark, sf)
-    asked = V.dense(V.hashed_words(questions, "question_id", "question"), "question_id")
+    asked = V.embedded(questions, "question_id", "question")
     context = V.stuff_context(V.vector_topk(vectors, asked), docs)
     prompt = build_answer_prompt(F.col("context"), F.col("question"))
     return context.join(questions, "question_id").select("question_id", F.md5(prompt).alias("prompt_md5"))
@@ -78,33 +78,55 @@ def answer_documents(spark, sf):
     return A.answer_prompts(index, _benchmark_questions(spark, sf))
 
 
+_ODD_TEXTS = """CASE doc_id % 4 WHEN 0 THEN '!? ...' WHEN 1 THEN concat('日本語 ', lang) WHEN 2 THEN concat('Über ', source)
+ELSE concat('a1 ', lang, ' ', source) END"""
+
+
+def index_all_texts(spark, sf):
+    """Texts without an ASCII word, or without any word, stay in the index."""
+    docs = table(spark, sf, "documents").select("doc_id", F.expr(_ODD_TEXTS).alias("text"))
+    used = F.size(F.filter("embedding", lambda x: x > 0))
+    length = F.round(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x), 9)
+    return A.index_documents(docs).select("doc_id", "chunk_idx", used.alias("n_dims"), length.alias("length"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (concat_pages, embed_chunks, embed_provider, vector_topk, stuff_context, answer_documents)
+    for f in (concat_pages, index_all_texts, embed_chunks, embed_provider, vector_topk, stuff_context, answer_documents)
 }
 
 
 def _hashed_sql(name: str, source: str, key: str) -> str:
-    return f"""{name}_w AS (SELECT {key} AS k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM {source}),
+    return f"""{name}_w AS (SELECT {key} AS k, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}),
 {name}_h AS (SELECT k, substr(md5(w), 1, 3) AS h FROM {name}_w),
 {name}_d AS (SELECT k, ((instr('0123456789abcdef', h[1]) - 1) * 256 + (instr('0123456789abcdef', h[2]) - 1) * 16
                 + instr('0123456789abcdef', h[3]) - 1) % 64 AS dim, count(*) AS n FROM {name}_h GROUP BY ALL),
 {name} AS (SELECT k, dim, n / sqrt(sum(n * n) OVER (PARTITION BY k)) AS weight FROM {name}_d)"""
 
 
+def _pairs_sql(vectors: str) -> str:
+    """Ranked pairs. A text without a word has a vector of zeros, so its squared length is 0, not 1."""
+    return f"""pairs AS (SELECT item_id AS question_id, vec_id,
+    CAST(item_id IN (SELECT k FROM q) AS INTEGER) + CAST(vec_id IN (SELECT k FROM v) AS INTEGER) AS lengths FROM benchmark, {vectors} AS all_v),
+r AS (SELECT question_id, vec_id, row_number() OVER (PARTITION BY question_id ORDER BY round(lengths - 2 * coalesce(s, 0), 9), vec_id) AS rank
+      FROM pairs LEFT JOIN dot USING (question_id, vec_id))"""
+
+
 _CHUNKS = _chunks_sql(10_000, 1_000)
 _ANSWER = f"""
 WITH {_CHUNKS}, c AS (SELECT doc_id * 16777216 + chunk_idx AS vec_id, text FROM chunks),
 {_hashed_sql('v', 'c', 'vec_id')}, {_hashed_sql('q', 'benchmark', 'item_id')},
 dot AS (SELECT q.k AS question_id, v.k AS vec_id, sum(q.weight * v.weight) AS s FROM q JOIN v USING (dim) GROUP BY 1, 2),
-pairs AS (SELECT a.k AS question_id, b.k AS vec_id FROM (SELECT DISTINCT k FROM q) a, (SELECT DISTINCT k FROM v) b),
-r AS (SELECT pairs.*, row_number() OVER (PARTITION BY question_id ORDER BY round(2 - 2 * coalesce(s, 0), 9), vec_id) AS rank
-      FROM pairs LEFT JOIN dot USING (question_id, vec_id)),
+{_pairs_sql('c')},
 x AS (SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM r JOIN c USING (vec_id) WHERE rank <= 4 GROUP BY 1)
 SELECT question_id, {quote(ANSWER_PROMPT)} || context || chr(10) || chr(10) || 'Question:' || chr(10) || text AS prompt
 FROM x JOIN benchmark ON item_id = question_id"""
 
 ORACLE = {
+    "index_all_texts": f"""
+WITH t AS (SELECT doc_id, {_ODD_TEXTS} AS text FROM documents), {_hashed_sql('v', 't', 'doc_id')}
+SELECT doc_id, 0 AS chunk_idx, count(dim) AS n_dims, CASE WHEN count(dim) > 0 THEN 1.0 ELSE 0.0 END AS length
+FROM t LEFT JOIN v ON k = doc_id GROUP BY doc_id""",
     "concat_pages": """
 SELECT conv_id, turn // 256 AS part, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1, 2""",
     "embed_chunks": f"""
@@ -121,9 +143,7 @@ SELECT question_id, rank, vec_id, round(distance, 6) AS distance FROM r WHERE ra
     "stuff_context": f"""
 WITH {_hashed_sql('v', 'documents', 'doc_id')}, {_hashed_sql('q', 'benchmark', 'item_id')},
 dot AS (SELECT q.k AS question_id, v.k AS vec_id, sum(q.weight * v.weight) AS s FROM q JOIN v USING (dim) GROUP BY 1, 2),
-pairs AS (SELECT a.k AS question_id, b.k AS vec_id FROM (SELECT DISTINCT k FROM q) a, (SELECT DISTINCT k FROM v) b),
-r AS (SELECT pairs.*, row_number() OVER (PARTITION BY question_id ORDER BY round(2 - 2 * coalesce(s, 0), 9), vec_id) AS rank
-      FROM pairs LEFT JOIN dot USING (question_id, vec_id)),
+{_pairs_sql('(SELECT doc_id AS vec_id FROM documents)')},
 c AS (SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM r JOIN documents ON doc_id = vec_id WHERE rank <= 4 GROUP BY 1)
 SELECT question_id, md5({quote(ANSWER_PROMPT)} || context || chr(10) || chr(10) || 'Question:' || chr(10) || text) AS prompt_md5
 FROM c JOIN benchmark ON item_id = question_id""",

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from pagesmith.cluster import cut_lineage, salted_lookup
 from pagesmith.functions.tokens import count_tokens, trim_to_tokens
-from pagesmith.operators import history, keyed, listings, providers, runs, vectors
+from pagesmith.functions import html as H
+from pagesmith.functions import replies
+from pagesmith.operators import history, keyed, listings, page_rows, providers, runs, vectors
 from pagesmith.operators.pricing import MAX_MODELS, price_runs, pricing_table
 from pagesmith.plans import extract
 from pagesmith.sources import frontier, pages as source
@@ -56,7 +58,7 @@ def test_salted_lookup_equals_plain_join(spark):
 def test_consecutive_numbers(spark):
     ids = random.Random(1).sample(range(10_000), 500)
     df = spark.createDataFrame([(i,) for i in ids], "k int").repartition(6)
-    got = rows(keyed.consecutive_numbers(df, "k", "n", block=64).select("n", "k"))
+    got = rows(keyed.consecutive_numbers(df, "k", "n").select("n", "k"))
     assert got == list(enumerate(sorted(ids), 1))
 
 
@@ -150,7 +152,7 @@ def _run_tables(spark):
 
 def test_storing_twice_changes_nothing(spark, tmp_path):
     for _ in range(2):
-        runs.store_runs(str(tmp_path), *_run_tables(spark))
+        runs.store_runs(str(tmp_path), "b1", *_run_tables(spark))
     meta, data, cost = runs.read_runs(spark, str(tmp_path))
     assert (meta.count(), data.count(), cost.count()) == (4, 4, 4)
     assert runs.orphans(data, meta.where("id <> 2")).collect()[0]["scrape_id"] == 2
@@ -158,7 +160,7 @@ def test_storing_twice_changes_nothing(spark, tmp_path):
 
 
 def test_end_day_is_excluded(spark, tmp_path):
-    runs.store_runs(str(tmp_path), *_run_tables(spark))
+    runs.store_runs(str(tmp_path), "b1", *_run_tables(spark))
     meta, _, cost = runs.read_runs(spark, str(tmp_path))
     ids = lambda **kw: [r["id"] for r in history.retrieve_runs(meta, cost, **kw).collect()]
     assert ids() == [3, 2, 1, 0]
@@ -215,3 +217,65 @@ def test_arrivals(spark, tmp_path):
         query.awaitTermination(120)
     data = spark.read.parquet(out).select("scrape_id", "data")
     assert rows(data) == [(0, '{"t":"n0","h":"/0"}'), (1, '{"t":"n1","h":"/1"}')]
+
+
+def test_nested_matches_keep_their_own_ends(spark):
+    html = '<nav class="m"><a href="/1">a</a><nav class="m"><a href="/1.1">b</a></nav><a href="/2">c</a></nav><li class="m">x<li class="m">y'
+    df = spark.createDataFrame([(html,)], "html string")
+    found = df.select(H.find_elements(F.col("html"), None, "m").alias("e")).first().e
+    assert [x.count("<a ") for x in found] == [3, 1, 0, 0] and found[2].endswith(">x")
+
+
+def test_repeated_headers_fail_no_page(spark):
+    html = '<table id="t"><tr><th></th><th></th><th>h</th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>'
+    good, bad, _ = page_rows.table_rows(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"), "t")
+    assert rows(page_rows.widen(good, ["", "h"])) == [(1, 1, "1", "3")] and bad.count() == 0
+
+
+def test_update_takes_the_last_value_of_each_column(spark):
+    items = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "id long, name string, price double")
+    changes = spark.createDataFrame([(1, "x", None, 1), (1, "y", 5.0, 2), (1, None, None, 3)], "id long, name string, price double, at int")
+    assert rows(keyed.update(items, changes, ["name", "price"], "at")[0]) == [(1, "y", 5.0), (2, "b", 2.0)]
+
+
+def test_numbers_of_hashed_keys(spark):
+    df = spark.range(1000).select(F.xxhash64("id").alias("k"))
+    got = keyed.consecutive_numbers(df, "k", "n").orderBy("k").select("n")
+    assert [r.n for r in got.collect()] == list(range(1, 1001))
+
+
+def test_batches_of_a_day_are_kept(spark, tmp_path):
+    def batch(name, *ids):
+        made = spark.createDataFrame([(str(i), "2024-01-01") for i in ids], "id string, run_date string")
+        child = made.withColumnRenamed("id", "scrape_id")
+        runs.store_runs(str(tmp_path), name, made, child, child)
+
+    batch("a", 1, 2)
+    batch("b", 3)
+    batch("a", 2)
+    assert [sorted(r[0] for r in t.select(t.columns[0]).collect()) for t in runs.read_runs(spark, str(tmp_path))] == [["2", "3"]] * 3
+
+
+def test_replies_with_repeated_keys_or_tails(spark):
+    cases = {'{"listings":[{"a":"1","a":"2"}],"listings":[]}': "ok", "[1]": "no_object", '{"a":1} x': "invalid", '{"a":1}]': "invalid",
+             '{"a":1}}': "invalid", "1,2": "invalid", "": "invalid", '{"listings":[{"a":"' + "x" * 9_000_000 + '"}]}': "ok"}
+    df = spark.createDataFrame([(k,) for k in cases], "reply string")
+    got = df.select("reply", replies.parse_reply(F.col("reply"), ["a"]).alias("p")).collect()
+    assert {r.reply: r.p.status for r in got} == cases
+    assert [len(r.p.listings) for r in got if len(r.reply) > 1000] == [1]
+
+
+def test_nearest_of_equal_and_huge_vectors():
+    import numpy as np
+
+    vecs = np.ones((20_000, 8))
+    vecs[7] *= 1e6
+    ids = np.arange(20_000)[::-1].copy()
+    found = vectors._nearest(np.arange(40), np.ones((40, 8)), ids, vecs, 3)
+    assert found.groupby("question_id")["vec_id"].apply(list).tolist() == [[0, 1, 2]] * 40
+
+
+def test_texts_without_words_have_zero_vectors(spark):
+    df = spark.createDataFrame([(1, "!?"), (2, None), (3, "über ÜBER"), (4, "日本")], "id long, text string")
+    got = {r.id: r.embedding for r in vectors.embedded(df, "id").collect()}
+    assert not any(got[1]) and not any(got[2]) and max(got[3]) == max(got[4]) == 1.0
