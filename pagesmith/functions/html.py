@@ -13,19 +13,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import WHITESPACE
 
-# Named character references that are decoded.
-NAMED_ENTITIES = {
-    "amp": "&", "nbsp": "\xa0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®",
-    "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "mdash": "—", "ndash": "–",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
-    "euro": "€", "pound": "£", "times": "×",
-}
+# Named character references that are decoded: the standard library's table, as ";name=character" runs.
+_NAMED = "".join(f"\x01{name}\x02{chr(code)}" for name, code in name2codepoint.items()) + "\x01apos\x02'\x01"
 # Fixed value: elements that never have a closing tag.
 VOID_TAGS = ("img", "br", "hr", "input", "meta", "link", "source", "area", "base", "col", "wbr")
 
@@ -108,11 +104,12 @@ def _sql_char(code: str) -> str:
 
 
 def _sql_decode(text: str) -> str:
-    pairs = ", ".join(_lit(x) for pair in NAMED_ENTITIES.items() for x in pair)
-    name = _lit(r"^([A-Za-z]{2,8}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});")
+    name = _lit(r"^([A-Za-z][A-Za-z0-9]{1,7}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});")
     digits = "if(cn RLIKE '^#[xX]', conv(substring(cn, 3), 16, 10), substring(cn, 2))"
     numeric = _sql_char(f"try_cast({digits} AS BIGINT)")
-    char = f"CASE WHEN startswith(cn, '#') THEN {numeric} ELSE try_element_at(map({pairs}), cn) END"
+    after = f"substring_index({_lit(_NAMED)}, concat(chr(1), cn, chr(2)), -1)"  # all of it if there is no such name
+    named = f"substring_index({after}, chr(1), 1)"
+    char = f"CASE WHEN startswith(cn, '#') THEN {numeric} ELSE nullif({named}, '') END"
     done = f"coalesce(concat({char}, substring(cp, length(cn) + 2)), concat('&', cp))"
     one = _let(f"regexp_extract(cp, {name}, 1)", "cn", done)
     pieces = f"transform(split({text}, '&'), (cp, ci) -> CASE WHEN ci = 0 THEN cp ELSE {one} END)"

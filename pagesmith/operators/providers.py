@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import cut_lineage, salted_lookup
 from ..functions.tokens import TokenCounter, count_tokens
 
 Reply = tuple[str | None, int, int]
@@ -93,6 +94,26 @@ def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2,
     return spread_out.mapInPandas(run, schema)
 
 
+def ask_once(prompts: DataFrame, ask: Callable[[DataFrame], DataFrame], stored: DataFrame | None = None) -> DataFrame:
+    """Replies for all prompts, each distinct (prompt, model) asked once and those in ``stored`` not at
+    all. ``stored`` has ``prompt_key`` and the reply columns, as ``reply_table`` gives them.
+
+    Only keys and replies are joined back, over salted keys, as boilerplate prompts repeat very often."""
+    key = F.sha2(F.concat_ws(" ", F.coalesce("model", F.lit("")), "prompt"), 256)
+    keyed = prompts.withColumn("prompt_key", key)
+    fresh = keyed.groupBy("prompt_key").agg(*[F.first(c).alias(c) for c in ("model", "text", "prompt")])
+    if stored is not None:
+        fresh = fresh.join(stored.select("prompt_key"), "prompt_key", "left_anti")
+    replies = reply_table(cut_lineage(ask(fresh)))
+    known = replies if stored is None else replies.unionByName(stored.select(*replies.columns).dropDuplicates(["prompt_key"]))
+    return salted_lookup(keyed, known, "prompt_key").drop("prompt_key")
+
+
+def reply_table(answered: DataFrame) -> DataFrame:
+    """``prompt_key`` and reply columns, to be stored and passed to a later :func:`ask_once`."""
+    return answered.select("prompt_key", "reply", "input_tokens", "output_tokens", "error")
+
+
 def split_known(prompts: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(answered, open) prompts against stored replies keyed by ``prompt_hash, model``, so that a
     re-run only pays for prompts it has not seen."""

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
-from pagesmith.cluster import spread
+from pagesmith.cluster import shared_folder, spread
 from pagesmith.functions import replies as R
 from pagesmith.functions.tokens import count_tokens as tokens_of
 from pagesmith.functions.tokens import trim_to_tokens as trim
 from pagesmith.operators import listings as L
 from pagesmith.operators import pricing as P
 from pagesmith.operators import providers as V
+from pagesmith.operators.runs import read_runs
 from pagesmith.plans import extract as X
 
 from .common import MODEL_SQL, PRICING_SQL, model_of_event, quote, sql_markdown, table
@@ -105,6 +107,32 @@ def response_record(spark, sf):
     return _flat_response(X.response_records(result, FIELDS))
 
 
+def store_extraction(spark, sf):
+    """Extraction carried into stored runs, as two batches of one day, and read back per page."""
+    pages = spread(table(spark, sf, "pages"))
+    folder, pricing, started = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}", P.pricing_table(spark), F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
+    options = X.Options(chunk_size=10_000_000)
+    for rest in (0, 1):
+        part = pages.where(F.col("page_id") % 2 == rest)
+        result = X.extract_pages(part, FIELDS, MODEL, pricing, options=options)
+        X.store_extraction(folder, f"batch-{rest}", part, result, FIELDS, started, MODEL, pricing, options)
+    metadata, listings, costs = read_runs(spark, folder)
+    found = listings.groupBy("scrape_id").agg(F.count("*").alias("n_listings"))
+    kept = metadata.select(F.col("id").alias("scrape_id"), "url", F.md5("raw_data").alias("raw_md5"), F.col("model_used").alias("model"))
+    rows = kept.join(costs.select("scrape_id", "input_tokens"), "scrape_id").join(found, "scrape_id", "left")
+    return rows.select(F.col("scrape_id").alias("run_id"), "url", "raw_md5", "model", "input_tokens", F.coalesce("n_listings", F.lit(0)).alias("n_listings"))
+
+
+def asked_once(spark, sf):
+    """Replies of a provider that is asked each distinct prompt once; a third of them is stored already."""
+    prompts = L.build_prompts(table(spark, sf, "documents").select("doc_id", F.col("source").alias("text")), FIELDS).withColumn("model", F.lit(MODEL))
+    ask = lambda rows: V.rule_replies(rows, FIELDS, rule=lambda text, _: F.concat(F.lit("asked "), text))
+    key = F.sha2(F.concat_ws(" ", "model", "prompt"), 256)
+    old = prompts.where(F.col("text").isin("src1", "src2", "src3")).withColumn("prompt_key", key)
+    stored = V.reply_table(V.rule_replies(old, FIELDS, rule=lambda text, _: F.concat(F.lit("stored "), text))).dropDuplicates(["prompt_key"])
+    return V.ask_once(prompts, ask, stored).select("doc_id", "reply", "input_tokens")
+
+
 def _flat_response(rows):
     return rows.select(
         "scrape_id", "part", F.size("data").alias("n_listings"), F.md5(F.to_json("data")).alias("data_md5"),
@@ -233,7 +261,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         chunk_text, chunk_text_small, chunk_invariants, count_tokens, trim_to_tokens, build_prompts,
-        extract_listings, provider_listings, extract_run, response_record, parse_listings, repair_json,
+        extract_listings, provider_listings, extract_run, response_record, store_extraction, asked_once, parse_listings, repair_json,
         fill_fields, fill_fields_map, flatten_listings, merge_listings, token_totals, failed_chunks,
         listing_counts, calculate_price, supported_models, unwrap_container,
     )
@@ -334,6 +362,15 @@ r AS (SELECT scrape_id, text, '{{"listings":[' || coalesce(body, '') || ']}}' AS
 SELECT scrape_id, md5(reply) AS reply_md5, CAST(ceil(length({_PROMPT_HEAD} || text) / 4.0) AS BIGINT) AS input_tokens,
        CAST(ceil(length(reply) / 4.0) AS BIGINT) AS output_tokens FROM r""",
     "provider_listings": f"WITH {_LINKS} SELECT scrape_id, 0 AS chunk_idx, pos, title, href, '' AS note FROM links",
+    "store_extraction": f"""
+WITH {_LINKS},
+k AS (SELECT scrape_id, CAST(ceil(length({_PROMPT_HEAD} || text) / 4.0) AS BIGINT) AS input_tokens FROM md),
+m AS (SELECT scrape_id, count(*) AS n FROM (SELECT DISTINCT scrape_id, title, href FROM links) GROUP BY 1)
+SELECT md5('2024-01-02 03:04:05 ' || url || '#' || page_id) AS run_id, url, md5(html) AS raw_md5, '{MODEL}' AS model, input_tokens, coalesce(n, 0) AS n_listings
+FROM pages JOIN k ON k.scrape_id = page_id LEFT JOIN m ON m.scrape_id = page_id""",
+    "asked_once": f"""
+SELECT doc_id, CASE WHEN source IN ('src1', 'src2', 'src3') THEN 'stored ' ELSE 'asked ' END || source AS reply,
+       CAST(ceil(length({_PROMPT_HEAD} || source) / 4.0) AS BIGINT) AS input_tokens FROM documents""",
     "response_record": f"""
 WITH {_LINKS},
 j AS (SELECT scrape_id, string_agg('{{"title":"' || title || '","href":"' || href || '"}}', ',' ORDER BY pos) AS body FROM links GROUP BY 1),
