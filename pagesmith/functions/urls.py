@@ -11,9 +11,10 @@ URL_BAD_FORMAT = "bad_format"
 URL_BAD_SCHEME = "bad_scheme"
 
 _SCHEME = r"(?i:https?|ftps?|sftp|ssh|git|ircs?|rtmps?|rtsp|telnet)"
+_BYTE = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _HOST = (
-    r"(?:localhost|\d{1,3}(?:\.\d{1,3}){3}"
-    r"|(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?\.)+\p{L}{2,63})"
+    rf"(?:localhost|{_BYTE}(?:\.{_BYTE}){{3}}|\[[0-9A-Fa-f:.]{{2,45}}\]"
+    r"|(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?\.)+(?:\p{L}{2,63}|(?i:xn--[a-z0-9-]{1,59})))"
 )
 URL_FORMAT = rf"^{_SCHEME}://(?:[^\s/?#@]+@)?{_HOST}(?::\d{{1,5}})?(?:[/?#]\S*)?$"
 

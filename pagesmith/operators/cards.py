@@ -63,13 +63,13 @@ DEAL_ATTR_CARD = CardSpec("div", "product-item-detail", (
     Field("special_price", "p", "spacail-price", default=MISSING_ATTR),
     Field("shop_link", "a", attr="href", within=("div", "shop-now-button"), default=MISSING_ATTR),
 ))
-ASSET_CARD = CardSpec(None, "asset-card", (
+ASSET_CARD = CardSpec(None, "ProjectCoverNeue-cover-X3S", (
     Field("title", "a", "Title-title-lpJ"),
     Field("creator", "a", "Owners-owner-EEG"),
     Field("price", "span", "PaidAssetsCountBadge-count-yPz"),
     Field("likes", "span", within=("div", "Stats-stats-Q1s"), default=MISSING_COUNT),
 ))
-JOB_CARD = CardSpec(None, "job-card", (
+JOB_CARD = CardSpec(None, "JobCard-jobCard-mzZ", (
     Field("title", "h3", "JobCard-jobTitle-LS4"),
     Field("company", "p", "JobCard-company-GQS"),
     Field("location", "p", "JobCard-jobLocation-sjd"),

@@ -52,7 +52,7 @@ def deal_cards_attr(spark, sf):
 def asset_cards(spark, sf):
     c, lit = F.col, F.lit
     card = F.concat(
-        lit('<div class="asset-card"><a class="Title-title-lpJ" href="#">'), c("p_name"), lit("</a>"),
+        lit('<div class="ProjectCoverNeue-cover-X3S"><a class="Title-title-lpJ" href="#">'), c("p_name"), lit("</a>"),
         _or_nothing(lit('<a class="Owners-owner-EEG">'), F.when(c("p_size") > 5, c("p_brand")), lit("</a>")),
         _or_nothing(lit('<span class="PaidAssetsCountBadge-count-yPz">'), F.when(c("p_type") != "ECONOMY", c("p_retailprice").cast("decimal(12,2)")), lit("</span>")),
         _or_nothing(lit('<div class="Stats-stats-Q1s"><i></i><span>'), F.when(c("p_size") > 10, c("p_size")), lit("</span><span>9</span></div>")),
@@ -65,7 +65,7 @@ def asset_cards(spark, sf):
 def job_cards(spark, sf):
     c, lit = F.col, F.lit
     card = F.concat(
-        lit('<li class="job-card"><h3 class="JobCard-jobTitle-LS4">Clerk '), c("c_custkey"), lit("</h3>"),
+        lit('<li class="JobCard-jobCard-mzZ"><h3 class="JobCard-jobTitle-LS4">Clerk '), c("c_custkey"), lit("</h3>"),
         lit('<p class="JobCard-company-GQS">'), c("c_name"), lit("</p>"),
         _or_nothing(lit('<p class="JobCard-jobLocation-sjd">Nation '), F.when(c("c_acctbal") > 0, c("c_nationkey")), lit("</p>")),
         lit('<p class="JobCard-jobDescription-SYp">Sells <b>'), c("c_mktsegment"), lit("</b> &amp; more</p>"),

@@ -116,3 +116,19 @@ def test_replies(spark):
     assert R.listing_schema(["Product Name", "tags"], arrays=["tags"]).simpleString().endswith("tags:array<string>>")
     with pytest.raises(ValueError):
         R.listing_schema([])
+
+
+def test_hosts_of_urls(spark):
+    from pagesmith.functions.urls import validate_url
+
+    cases = {"http://255.1.0.9/": True, "http://999.999.999.999/": False, "http://256.1.1.1": False, "https://[::1]:80/x": True,
+             "http://a.xn--p1ai/": True, "http://a.b-/": False}
+    df = spark.createDataFrame([(u,) for u in cases], "u string")
+    assert {r.u: r.ok for r in df.select("u", validate_url(F.col("u")).ok.alias("ok")).collect()} == cases
+
+
+def test_named_references(spark):
+    from pagesmith.functions.html import decode_entities
+
+    df = spark.createDataFrame([("&eacute;&frac12;&szlig;&apos;&nope; &amp;lt; &Eacute; & &#233;",)], "t string")
+    assert df.select(decode_entities(F.col("t")).alias("t")).first().t == "é½ß'&nope; &lt; É & é"
