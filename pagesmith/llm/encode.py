@@ -1,30 +1,38 @@
 """Token ids by the tokenizers library, quickly: each distinct stretch of text is encoded once.
 
-A stretch ends before a single space or line end that stands between two plain characters, and between
-a letter and a mark of punctuation. The vocabularies used here never let a token cross such a place, so
-the ids of a text are the ids of its stretches put together; a test holds that against the library over
-all documents. Other vocabularies can be encoded whole (``by_stretch=False``)."""
+Texts of lines of words, a single space between two words, are taken apart at spaces and line ends; all
+others, and what stands between spaces, at single spaces or line ends between plain characters and
+between a letter and a mark of punctuation. The vocabularies used here never let a token cross such a
+place, so the ids of a text are the ids of its stretches put together; a test holds that against the
+library over all documents. Other vocabularies can be encoded whole (``by_stretch=False``)."""
 
 from __future__ import annotations
 
 import re
 from array import array
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
 #: Plain: neither white space nor controls.
 _CUT = re.compile(r"(?<=[!-~¡-˿Ͱ-῿])(?=[ \n][!-~¡-˿Ͱ-῿])|(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[,.!?;:])")
-BOUND = 600_000
+#: Stretches kept at most (about 200 bytes each), and words encoded in one call.
+BOUND, CALL = 1_000_000, 4096
+#: In front of a text's first stretch, which has no space before it.
+_FIRST = "\x00"
 
 
 class Encoder:
-    """Encodes texts with one vocabulary file; made once in each task. Holds at most ``bound`` stretches."""
+    """Encodes texts with one vocabulary file. Holds at most about ``bound`` stretches."""
 
     def __init__(self, path: str, by_stretch: bool = True, bound: int = BOUND):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_stretch, self.bound = Tokenizer.from_file(path), by_stretch, bound
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.word_ends = np.array([t.endswith("</w>") for t in tokens], bool)
+        self.word_starts = np.array([t.startswith("Ġ") for t in tokens], bool)
         self._empty()
 
     def _empty(self) -> None:
@@ -34,17 +42,62 @@ class Encoder:
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, stretches: Iterable[str]) -> None:
-        fresh = list(dict.fromkeys(s for s in stretches if s not in self.places))
-        if not fresh:
-            return
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for stretch, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.places[stretch] = len(self.starts)
-                self.starts.append(len(self.ids))
-                self.sizes.append(len(found.ids))
-                self.ids.extend(found.ids)
+    def _add(self, key: str, ids: Iterable[int]) -> None:
+        self.places[key] = len(self.starts)
+        self.starts.append(len(self.ids))
+        self.ids.extend(ids)
+        self.sizes.append(len(self.ids) - self.starts[-1])
+
+    def _words(self, words: list[str]) -> None:
+        """Words of letters only, each after a space: encoded in one text and told apart by the ids that
+        start or end a word. Where their number doesn't fit, one by one."""
+        for i in range(0, len(words), CALL):
+            part = words[i : i + CALL]
+            ids = self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids
+            flat = np.array(ids, np.int64)
+            if self.word_ends.any():
+                bounds = np.concatenate([[0], np.flatnonzero(self.word_ends[flat]) + 1])
+            else:
+                bounds = np.append(np.flatnonzero(self.word_starts[flat]), len(flat))
+            if len(bounds) != len(part) + 1 or bounds[0] or bounds[-1] != len(flat):
+                self._others(part)
+                continue
+            self.places.update(zip(part, range(len(self.starts), len(self.starts) + len(part)), strict=True))
+            self.starts.frombytes((bounds[:-1] + len(self.ids)).astype(np.int64).tobytes())
+            self.sizes.frombytes(np.diff(bounds).astype(np.int64).tobytes())
+            self.ids.frombytes(flat.astype(np.uint32).tobytes())
+
+    def _others(self, stretches: list[str]) -> None:
+        for i in range(0, len(stretches), CALL):
+            part = stretches[i : i + CALL]
+            plain = [s[1:] if s[0] == _FIRST else s for s in part]
+            for stretch, found in zip(part, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+                self._add(stretch, found.ids)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Pieces as they stand in ``places``: with the space or line end before them, or the mark of a first one."""
+        words = {p for p in pieces if p[0] == " " and p[1:].isalpha()}
+        cut = {p: s for p in pieces - words if len(s := _CUT.split(p)) > 1}
+        fresh = {s for stretches in cut.values() for s in stretches}.difference(self.places) | (pieces - words - cut.keys())
+        parts = {s for s in fresh if s[0] == " " and s[1:].isalpha()}
+        self._words(list(words | parts))
+        self._others(list(fresh - parts))
+        for piece, stretches in cut.items():
+            ids: list[int] = []
+            for s in stretches:
+                at = self.starts[self.places[s]]
+                ids.extend(self.ids[at : at + self.sizes[self.places[s]]])
+            self._add(piece, ids)
+
+    def _pieces(self, text: str) -> list[str]:
+        if not text:
+            return []
+        spaced = text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+        if spaced or not text.replace("\n", "").isprintable():
+            first, *rest = _CUT.split(text)
+            return [_FIRST + first, *rest]
+        # the space goes with the word after it
+        return (_FIRST + text).replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
@@ -52,15 +105,17 @@ class Encoder:
             return [self.plain(t) for t in texts]
         if len(self.places) > self.bound:
             self._empty()
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        self._learn(s for stretches in cut for s in stretches)
+        cut = [self._pieces(t) for t in texts]
+        fresh = set(chain.from_iterable(cut)).difference(self.places)
+        if fresh:
+            self._learn(fresh)
         if not self.places:
             return [np.zeros(0, np.uint32) for _ in texts]
         starts, sizes = (np.frombuffer(x, np.int64) for x in (self.starts, self.sizes))
         ids = np.frombuffer(self.ids, np.uint32)
-        out = []
-        for stretches in cut:
-            at = np.fromiter(map(self.places.__getitem__, stretches), np.int64, len(stretches))
+        place, out = self.places.__getitem__, []
+        for pieces in cut:
+            at = np.fromiter(map(place, pieces), np.int64, len(pieces))
             size = sizes[at]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
@@ -68,6 +123,16 @@ class Encoder:
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary: tasks that run in the same Python worker share what it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def groups(texts: list[str], size: int = 1 << 20) -> Iterable[tuple[int, int]]:
     """Ranges of texts with about ``size`` characters each, so that a call's memory is bounded."""
     start = held = 0

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesmith.llm.encode import Encoder, groups
+from pagesmith.llm.encode import encoder, groups
 
 SIZE, BLOCK = 2048, 1 << 19
 #: Costs in padded ids: of a window, of a cut at a sentence end, of a cut elsewhere in a document.
@@ -151,8 +151,8 @@ def _run(path: str, end_id: int, size: int, key_type: pa.DataType):
     schema = pa.schema([("doc_id", key_type), *[(f, pa.int64()) for f in fields]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        packer = Packer(sentence_table(encoder.tokenizer), size)
+        encode = encoder(path)
+        packer = Packer(sentence_table(encode.tokenizer), size)
         first = TaskContext.get().partitionId() << 40
 
         def batch_of(pieces):
@@ -165,7 +165,7 @@ def _run(path: str, end_id: int, size: int, key_type: pa.DataType):
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for a, b in groups(texts):
-                for key, ids in zip(keys[a:b], encoder.encode(texts[a:b]), strict=True):
+                for key, ids in zip(keys[a:b], encode.encode(texts[a:b]), strict=True):
                     pieces.extend(packer.add(key, np.concatenate([ids, end])))
                 if len(pieces) >= 10_000:
                     yield batch_of(pieces)

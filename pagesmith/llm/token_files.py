@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from pagesmith.cluster import cut_lineage, shared_folder
 from pagesmith.llm.common import Rows, clean, rows_of
-from pagesmith.llm.encode import Encoder, groups
+from pagesmith.llm.encode import encoder, groups
 
 CHUNK, FILE_IDS = 1 << 16, 1 << 24
 MAGIC = b"IDPLANE1"
@@ -154,7 +154,7 @@ def _write(folder: str, path: str, end_id: int, bits: bool, file_ids: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, base = fs.FileSystem.from_uri(folder)
-        encoder, end = Encoder(path), np.array([end_id], np.uint32)
+        encode, end = encoder(path), np.array([end_id], np.uint32)
         part, attempt, out, writer, number = TaskContext.get().partitionId(), uuid.uuid4().hex, Rows(schema), None, 0
 
         def name():
@@ -167,7 +167,7 @@ def _write(folder: str, path: str, end_id: int, bits: bool, file_ids: int):
         for batch in batches:
             keys, texts = batch.column("_id").to_pylist(), batch.column("text").to_pylist()
             for a, b in groups(texts):
-                for key, ids in zip(keys[a:b], encoder.encode(texts[a:b]), strict=True):
+                for key, ids in zip(keys[a:b], encode.encode(texts[a:b]), strict=True):
                     if writer is None:
                         place.create_dir(base, recursive=True)
                         writer = PlaneWriter(place.open_output_stream(f"{base}/{name()}"), bits)
