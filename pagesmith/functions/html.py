@@ -213,6 +213,11 @@ def find_elements(html: Column, tag: str | None = None, cls: str | None = None,
     return bind(html, body)
 
 
+def has_element(html: Column, tag: str | None = None, cls: str | None = None) -> Column:
+    """Whether a page has such an element outside comments, scripts and styles; nothing is cut out."""
+    return strip_inert(html).rlike(_start_tag(tag, cls))
+
+
 def _sql_find(html: str, start: str) -> str:
     rest = f"regexp_extract({html}, {_lit(start + '.*')}, 0)"
     return _let(rest, "fr", f"CASE WHEN fr <> '' THEN {_sql_element('fr')} END")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..cluster import salted_lookup
-from ..functions.html import to_text
+from ..functions.html import has_element, to_text
 from ..functions.text import keyword_match, preview
 from ..functions.urls import url_slug
+from .cards import DEAL_SEARCH_CARD, CardSpec, deal_cards
 
 # Fixed value: how many featured projects are enriched.
 FEATURED_LIMIT = 5
@@ -54,13 +55,17 @@ def store_lookup(selections: DataFrame, stores: DataFrame) -> DataFrame:
     return found.withColumn("slug", url_slug(F.col("store_url"))).drop("store_url")
 
 
-def search_with_fallback(searches: DataFrame, primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Cards of each (store, keyword) search whose name holds the keyword. The global search is
-    used only where the in-store page shows no card at all (matching or not)."""
+def search_with_fallback(searches: DataFrame, primary: DataFrame, fallback: DataFrame,
+                         spec: CardSpec = DEAL_SEARCH_CARD) -> DataFrame:
+    """Cards of each (store, keyword) search whose name holds the keyword, from pages with ``html``.
+    The global search is used only where the in-store pages show no card at all (matching or not).
+
+    Whether a page shows a card is a test of its start tags; cards are read once, and only from pages
+    that count: the in-store pages asked for, and the global pages of searches that missed."""
     keys = ["store", "keyword"]
     asked = searches.select(*keys).distinct()
-    answered = primary.select(*keys).distinct()
-    missed = asked.join(answered, keys, "left_anti")
-    rows = primary.join(asked, keys, "left_semi").withColumn("origin", F.lit("store"))
-    rest = fallback.join(missed, keys, "left_semi").withColumn("origin", F.lit("global"))
+    shown = primary.where(has_element(F.col("html"), spec.tag, spec.cls))
+    missed = asked.join(shown.select(*keys).distinct(), keys, "left_anti")
+    rows = deal_cards(shown.join(asked, keys, "left_semi"), spec).withColumn("origin", F.lit("store"))
+    rest = deal_cards(fallback.join(missed, keys, "left_semi"), spec).withColumn("origin", F.lit("global"))
     return rows.unionByName(rest).where(keyword_match(F.col("product_name"), F.col("keyword")))

@@ -6,6 +6,7 @@ run by ``mapInPandas`` over all chunks in parallel and its failures become rows,
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -65,20 +66,25 @@ def rule_replies(prompts: DataFrame, fields: Sequence[str], rule=link_rule_reply
 
 
 def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2,
-                  tasks: int | None = None) -> DataFrame:
+                  tasks: int | None = None, wait: float = 0.5) -> DataFrame:
     """Replies of a Python callable ``prompt -> (json, input_tokens, output_tokens)``.
 
     A call that still raises after its retries yields a row with ``error`` set, so that one failing
-    chunk never stops the others. ``tasks`` sets how many calls are in flight at most. Checkpoint
-    the result before using it twice."""
+    chunk never stops the others. A retry comes after ``wait`` seconds, the next after twice that.
+    ``tasks`` sets how many calls are in flight at most. Of the texts only the prompt goes to Python and
+    neither comes back. Checkpoint the result before using it twice."""
+    prompts = prompts.drop("text")
     added = [("reply", T.StringType()), ("input_tokens", T.LongType()),
              ("output_tokens", T.LongType()), ("error", T.StringType())]
     names = [name for name, _ in added]
-    schema = T.StructType(prompts.schema.fields + [T.StructField(n, t) for n, t in added])
+    kept = [f for f in prompts.schema.fields if f.name != "prompt"]
+    schema = T.StructType(kept + [T.StructField(n, t) for n, t in added])
 
     def ask(prompt: str) -> tuple[str | None, int, int, str | None]:
         problem = ""
-        for _ in range(retries + 1):
+        for attempt in range(retries + 1):
+            if attempt:
+                time.sleep(wait * 2 ** (attempt - 1))
             try:
                 return (*provider(prompt), None)
             except Exception as exc:  # noqa: BLE001 - any failure becomes an error row
@@ -88,7 +94,7 @@ def call_provider(prompts: DataFrame, provider: Provider, retries: int = 2,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers = [ask(p) for p in batch["prompt"]]
-            yield batch.assign(**{n: [a[i] for a in answers] for i, n in enumerate(names)})
+            yield batch.drop(columns="prompt").assign(**{n: [a[i] for a in answers] for i, n in enumerate(names)})
 
     spread_out = prompts if tasks is None else prompts.repartition(tasks)
     return spread_out.mapInPandas(run, schema)

@@ -162,9 +162,9 @@ def _search_pages(spark, sf, known_only: bool):
 
 
 def search_fallback(spark, sf):
-    cards = [C.deal_cards(_search_pages(spark, sf, known), C.DEAL_SEARCH_CARD) for known in (True, False)]
+    pages = [_search_pages(spark, sf, known) for known in (True, False)]
     searches = table(spark, sf, "part").select(F.col("p_brand").alias("store"), F.lit(SEARCH_WORD).alias("keyword"))
-    found = E.search_with_fallback(searches, *cards)
+    found = E.search_with_fallback(searches, *pages)
     return found.select("store", "origin", "product_name", "current_price", "product_url")
 
 
