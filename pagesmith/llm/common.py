@@ -74,22 +74,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def keyed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id``, ``_hash``, ``_text`` of every row. Rows that agree in id and hash are the same
-    document; a null id counts as an id of its own."""
-    text = utf8(text_column)
-    return docs.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("_id"),
-        F.xxhash64(F.lit(1), F.col(text_column)).alias("_hash"), text.alias("_text"),
-    )
-
-
-def with_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the key of :func:`keyed`."""
-    return docs.withColumns({
-        "_id": F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))),
-        "_hash": F.xxhash64(F.lit(1), F.col(text_column)),
-    })
+def key_columns(id_column: str = "doc_id", text_column: str = "text") -> list[Column]:
+    """``_id`` and ``_hash``: rows that agree in both are the same document; a null id is an id of its own."""
+    whole = F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63)))
+    return [whole.alias("_id"), F.xxhash64(F.lit(1), F.col(text_column)).alias("_hash")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_hash``, ``_text`` of every row."""
+    return docs.select(*key_columns(), utf8("text").alias("_text"))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, ``_row``, so that no name of theirs can clash; ``_row.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
 
 
 def clean(id_value: Column) -> Column:

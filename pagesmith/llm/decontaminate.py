@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagesmith.cluster import cut_lineage
-from pagesmith.llm.common import clean, with_key
+from pagesmith.llm.common import clean, key_columns, whole_row
 
 SIZE = 10
 #: Hashes of benchmark windows looked up in one scan.
@@ -73,7 +73,7 @@ def _found(rows: DataFrame, k: int, hashes: list[int]) -> DataFrame:
 def hits(docs: DataFrame, windows: DataFrame, round_size: int = ROUND) -> DataFrame:
     """``_id, _hash, at, k, w``: where windows of the benchmark occur in the documents."""
     keys = [(r.k, r.h) for r in windows.select("k", "h").distinct().orderBy("k", "h").toLocalIterator()]
-    rows = with_key(docs.select("doc_id", "text")).select("_id", "_hash", words_of(F.col("text")).alias("words"))
+    rows = docs.select(*key_columns(), words_of(F.col("text")).alias("words"))
     scans = []
     for i in range(0, len(keys), round_size):
         part = keys[i : i + round_size]
@@ -106,7 +106,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round
     listed = items.where("item_id IS NOT NULL").select("_id", "_hash", F.col("item_id").cast("string").alias("item")).distinct()
     listed = listed.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("item")).alias("items"))
     of_hit = spans.join(listed, ["_id", "_hash"], "left")
-    rows = with_key(docs.select("doc_id", "text")).select("_id", "_hash", count_words(F.col("text")).alias("n_words"))
+    rows = docs.select(*key_columns(), count_words(F.col("text")).alias("n_words"))
     names = F.array_join(F.coalesce("items", F.array().cast("array<string>")), ",").cast("binary")
     return rows.join(of_hit, ["_id", "_hash"], "left").select(
         clean(F.col("_id")).alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
@@ -117,15 +117,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round_size: int = ROUND) -> DataFrame:
     """The documents without any hit, all columns as they were."""
     found = hits(docs, item_windows(benchmark, size), round_size).select("_id", "_hash").distinct()
-    return with_key(docs).join(found, ["_id", "_hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole_row(docs), *key_columns())
+    return rows.join(found, ["_id", "_hash"], "left_anti").select("_row.*")
 
 
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round_size: int = ROUND) -> DataFrame:
     """All documents, without the words inside hits and what stands between them and the next word."""
     spans = hit_spans(hits(docs, item_windows(benchmark, size), round_size)).select("_id", "_hash", "spans")
-    marked = with_key(docs).join(spans, ["_id", "_hash"], "left")
-    words = F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
+    rows = docs.select(whole_row(docs), *key_columns(), F.col("text").alias("_text"))
+    marked = rows.join(spans, ["_id", "_hash"], "left")
+    words = F.regexp_extract_all("_text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
     kept = F.filter(words, lambda w, i: ~F.exists("spans", lambda s: (i >= s["start"]) & (i < s["end"])))
-    lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(kept, "")))
-    return marked.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    lead = F.regexp_extract("_text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
+    text = F.when(F.col("spans").isNull(), F.col("_text")).otherwise(F.concat(lead, F.array_join(kept, "")))
+    return marked.select(*[(text if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

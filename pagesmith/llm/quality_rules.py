@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesmith.llm.common import Numbers, Rows, utf8
+from pagesmith.llm.common import Numbers, Rows, utf8, whole_row
 from pagesmith.llm.ngram_models import MAX_TRUSTED, SCALE, fit_weights, grams, word_bucket
 
 MIN_WORDS = 50
@@ -123,7 +123,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """The documents that the rules keep, all columns as they were."""
     fitted = fit_weights(docs, labels, max_trusted).astype(np.int32)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    carried = docs.select(row.alias("_row"), utf8("text").alias("_text"))
+    carried = docs.select(whole_row(docs), utf8("text").alias("_text"))
     schema = f"_row {carried.schema['_row'].dataType.simpleString()}, {SCORE_TYPES}"
     return _judged(carried.mapInArrow(_scorer(fitted), schema), threshold).where("kept").select("_row.*")

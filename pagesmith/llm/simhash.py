@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from pagesmith.cluster import cut_lineage
-from pagesmith.llm.common import clean, keyed, with_key
+from pagesmith.llm.common import clean, key_columns, keyed, whole_row
 from pagesmith.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -212,5 +212,5 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     that id the one with the smallest text hash, of repeated rows one."""
     found = near_components(docs, shingle, radius, seed)
     first = found.groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("first")).select("first.*").distinct()
-    kept = with_key(docs).join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole_row(docs), *key_columns())
+    return rows.join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select("_row.*")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from pagesmith.cluster import cut_lineage
-from pagesmith.llm.common import Numbers, Rows, clean, keyed, mix, rows_of, with_key
+from pagesmith.llm.common import Numbers, Rows, clean, key_columns, keyed, mix, rows_of
 
 WINDOW, GRAM = 35, 8
 #: Words of one shard's automaton, and different pieces of one anchor before its windows are dealt apart.
@@ -338,8 +338,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFram
     also those with nothing left."""
     spans = repeated_spans(docs, window, **options)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    marked = with_key(docs.select(row.alias("_row"), "doc_id", "text")).join(spans, ["_id", "_hash"], "left")
-    given = marked.select("_row", F.col("text").alias("_whole"), "spans")
+    rows = docs.select(row.alias("_row"), F.col("text").alias("_whole"), *key_columns())
+    given = rows.join(spans, ["_id", "_hash"], "left").select("_row", "_whole", "spans")
     cut = given.mapInArrow(_cut, f"_row {given.schema['_row'].dataType.simpleString()}, _left string")
     value = {"text": F.col("_left")}
     if "n_chars" in docs.columns:

@@ -84,9 +84,9 @@ def test_leaks_by_brute_force(spark):
     assert run(docs_df, items_df, round_size=4) == want
     assert not any(r[5] for r in run(docs_df, items_df.limit(0)))
     assert run(docs_df.limit(0), items_df) == []
-    kept = D.drop_contaminated(docs_df.drop("_id"), items_df)
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(r[0] for r in want if not r[5]) and kept.columns == docs_df.drop("_id").columns
-    cut = {r.doc_id: r.text for r in D.cut_contaminated(docs_df.drop("_id"), items_df).where("doc_id < 10").collect()}
+    kept = D.drop_contaminated(docs_df, items_df)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(r[0] for r in want if not r[5]) and kept.columns == docs_df.columns
+    cut = {r.doc_id: r.text for r in D.cut_contaminated(docs_df, items_df).where("doc_id < 10").collect()}
     assert cut[3] == "" and cut[5] == "tail" and cut[1] is None and cut[4].split()[-1] == "x"
 
 
