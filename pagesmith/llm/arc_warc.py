@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesmith.cluster import cut_lineage, shared_folder
-from pagesmith.llm.common import Rows, clean, rows_of, utf8
+from pagesmith.llm.common import Rows, clean, dealt_by_file, rows_of, utf8
 
 #: The fields of a record's header line, by ARC version.
 FIELDS = {
@@ -313,7 +313,8 @@ def convert_archives(files: DataFrame, arcs: str, warcs: str, least_bytes: int =
     """Convert the ARC files named in ``files`` (``file``); returns the WARC files written (``file``).
 
     Payloads of fewer than ``least_bytes`` are never revisits."""
-    seen = cut_lineage(files.repartition("file").mapInArrow(
+    n_files = files.count()
+    seen = cut_lineage(dealt_by_file(files, n_files).mapInArrow(
         _scan_arcs(arcs), "file string, offset long, key long, digest string, size long"))
     last = seen.where(F.col("size") >= least_bytes).groupBy("digest").agg(
         F.max(F.struct("key", "file", "offset")).alias("o"), F.count("*").alias("n")).where("n > 1")
@@ -322,12 +323,12 @@ def convert_archives(files: DataFrame, arcs: str, warcs: str, least_bytes: int =
     rows = seen.select("file", "offset", large).join(named, "digest", "left")
     itself = (F.col("file") == F.col("to_file")) & (F.col("offset") == F.col("to_offset"))
     rows = rows.select("file", "offset", *[F.when(~itself, F.col(c)).alias(c) for c in ("to_file", "to_offset")])
-    return cut_lineage(rows.repartition("file").sortWithinPartitions("file", "offset").mapInArrow(_convert(arcs, warcs), "file string"))
+    return cut_lineage(dealt_by_file(rows, n_files).sortWithinPartitions("file", "offset").mapInArrow(_convert(arcs, warcs), "file string"))
 
 
 def read_warcs(files: DataFrame, folder: str) -> DataFrame:
     """``id, key, size, digest, kind, to`` of every record in the files."""
-    return files.repartition("file").mapInArrow(
+    return dealt_by_file(files, files.count()).mapInArrow(
         _read_warcs(folder), "id string, key long, size long, digest string, kind string, to string")
 
 

@@ -90,6 +90,12 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
 
 
+def dealt_by_file(rows: DataFrame, files: int, most: int = 20_000) -> DataFrame:
+    """Rows dealt by ``file``, about one file a task. The number is given, as Spark would otherwise put
+    many small rows, and all the files they name, in one task."""
+    return rows.repartitionByRange(max(1, min(files, most)), "file")
+
+
 def clean(id_value: Column) -> Column:
     """The id that a key stands for."""
     return F.when(id_value != F.lit(-(2**63)), id_value)
