@@ -1,6 +1,6 @@
 """Token-id files by bit planes.
 
-Ids are written in blocks of ``CHUNK``. A block is transposed into bit planes (or byte planes), so that
+Ids are written in blocks of ``CHUNK``. A block is transposed into byte planes (or bit planes), so that
 what changes seldom lies together; each plane is compressed with zstandard, planes of zeros take no
 space. A file ends with its index: documents, and of every block its place, ids, width and planes.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagesmith.cluster import cut_lineage, shared_folder
-from pagesmith.llm.common import Rows, clean, rows_of
+from pagesmith.llm.common import Rows, clean, dealt_by_file, rows_of
 from pagesmith.llm.encode import encoder, groups
 
 CHUNK, FILE_IDS = 1 << 16, 1 << 24
@@ -182,7 +182,7 @@ def _write(folder: str, path: str, end_id: int, bits: bool, file_ids: int):
     return run
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, bits: bool = True,
+def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, bits: bool = False,
                       file_ids: int = FILE_IDS) -> DataFrame:
     """Write all documents; returns the table of files in order: ``part, number, file, n_docs, n_ids, start``."""
     rows = docs.select(
@@ -215,7 +215,7 @@ def _read(folder: str):
 
 def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document in the files."""
-    dealt = files.select("file", "start").repartition("file")
+    dealt = dealt_by_file(files.select("file", "start"), files.count())
     rows = dealt.mapInArrow(_read(folder), "_id long, start long, n_tokens long, ids_crc32 long")
     return rows.select(clean(F.col("_id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
