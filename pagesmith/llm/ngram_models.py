@@ -2,7 +2,8 @@
 
 A word's bucket is the lower half of its MD5 modulo ``2**BITS``; a word pair's bucket is made of the
 two buckets. So plain SQL can work out the same buckets. Counts cover every document of the corpus;
-only the trusted documents are bounded, by ``max_trusted``."""
+only the trusted documents are bounded, by ``max_trusted``. ``fit_labelled`` sets the trusted target
+against labelled junk instead, so that frequency in the corpus doesn't matter."""
 
 from __future__ import annotations
 
@@ -43,6 +44,12 @@ def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     return good.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(max_trusted)
 
 
+def junk_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
+    """Ids of documents labelled as of no quality: at most ``most``, in MD5 order of the id."""
+    junk = labels.where("quality = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return junk.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     target, raw, numbers = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64), Numbers(word_bucket)
     for batch in batches:
@@ -90,3 +97,28 @@ def weights(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
         return np.zeros(len(raw), np.int64)
     expected = raw * target.sum() / total
     return np.round(np.log((target + PRIOR) / (expected + PRIOR)) * SCALE).astype(np.int64)
+
+
+def fit_labelled(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_TRUSTED) -> np.ndarray:
+    """Weight of every bucket: log of its share among trusted documents to its share among junk.
+
+    Only labelled documents count, each distinct text once, so what the corpus holds besides, and how
+    often, changes nothing. Without trusted documents or without junk all weights are zero."""
+    ids = trusted_ids(labels, max_labelled).select(F.col("doc_id").alias("_labelled"), F.lit(True).alias("trusted"))
+    ids = ids.union(junk_ids(labels, max_labelled).select("doc_id", F.lit(False)))
+    rows = docs.select("doc_id", utf8("text").alias("text"), F.xxhash64("text").alias("_hash"))
+    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_labelled"))  # at most 2 * max_labelled ids
+    texts = rows.select("text", "trusted", "_hash").dropDuplicates(["trusted", "_hash"]).select("text", "trusted")
+    counts = texts.mapInArrow(_count, "bucket long, target long, raw long")
+    good, junk = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
+    for bucket, t, r in counts.groupBy("bucket").agg(F.sum("target"), F.sum("raw")).collect():
+        good[bucket], junk[bucket] = t, r - t
+    return balanced(good, junk)
+
+
+def balanced(good: np.ndarray, junk: np.ndarray) -> np.ndarray:
+    """As ``weights``, for two models that don't contain each other: both are scaled to the same total."""
+    g, j = good.sum(), junk.sum()
+    if not g or not j:
+        return np.zeros(len(good), np.int64)
+    return np.round(np.log((good * j / (g + j) + PRIOR) / (junk * g / (g + j) + PRIOR)) * SCALE).astype(np.int64)

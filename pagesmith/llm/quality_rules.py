@@ -1,12 +1,13 @@
 """Quality rules: countable base rules, then the log-likelihood ratio of hashed n-grams.
 
 ``quality_scores`` judges every document. A document that passes the base rules is kept if the mean
-weight of its n-grams (trusted target against raw corpus) reaches the threshold. All sums are whole
+weight of its n-grams (trusted target against raw corpus) reaches the threshold; ``keep_likely`` takes
+labelled junk in place of the corpus, and so doesn't reject what is merely frequent. All sums are whole
 numbers, so that the verdict is the same in any order and on any cluster.
 
 Words are runs of other characters than ASCII white space. Null and empty texts have no words and
 fail the base rules; repeated rows are judged alike, each for itself; extra columns are ignored by
-``quality_scores`` and kept by ``keep_good``; no documents give no rows."""
+``quality_scores`` and kept by the functions that filter; no documents give no rows."""
 
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesmith.llm.common import Numbers, Rows, utf8, whole_row
-from pagesmith.llm.ngram_models import MAX_TRUSTED, SCALE, fit_weights, grams, word_bucket
+from pagesmith.llm.ngram_models import MAX_TRUSTED, SCALE, fit_labelled, fit_weights, grams, word_bucket
 
 MIN_WORDS = 50
 #: Symbols that the base counts name.
@@ -26,6 +27,8 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 #: Mean log-likelihood ratio per n-gram that a document must reach.
 THRESHOLD = -0.08
+#: The same against labelled junk: as likely a good document as junk.
+EVEN = 0.0
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SCORE_TYPES = ", ".join(f"{c} long" for c in (*COUNTS, "n_grams", "weight_sum"))
@@ -123,6 +126,18 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """The documents that the rules keep, all columns as they were."""
     fitted = fit_weights(docs, labels, max_trusted).astype(np.int32)
+    return _kept(docs, fitted, threshold)
+
+
+def keep_likely(docs: DataFrame, labels: DataFrame, threshold: float = EVEN,
+                max_labelled: int = MAX_TRUSTED) -> DataFrame:
+    """As ``keep_good``, by models of good and junk documents: a document's verdict depends on its text and
+    the labelled documents only, not on how frequent its text, source or language is."""
+    fitted = fit_labelled(docs, labels, max_labelled).astype(np.int32)
+    return _kept(docs, fitted, threshold)
+
+
+def _kept(docs: DataFrame, fitted: np.ndarray, threshold: float) -> DataFrame:
     carried = docs.select(whole_row(docs), utf8("text").alias("_text"))
     schema = f"_row {carried.schema['_row'].dataType.simpleString()}, {SCORE_TYPES}"
     return _judged(carried.mapInArrow(_scorer(fitted), schema), threshold).where("kept").select("_row.*")
