@@ -2,9 +2,9 @@
 
 Texts are normalised (A-Z lower-cased, words are runs of ASCII letters and digits and of all characters
 beyond ASCII). Every ``size`` consecutive words of an item are a window; an item of fewer words is one
-window. Documents are scanned once: the hash of each of their windows is looked up in the set of the
-benchmark's, and what is found is verified by the words themselves. Up to ``ROUND`` hashes travel with
-the plan at once; a larger benchmark takes as many scans as it has such parts, so nothing grows past it.
+window. The hash of each of their windows is looked up in the set of the
+benchmark's, and what is found is verified by the words themselves. The hashes are counted first: up to
+``ROUND`` of them travel with the plan, more are joined with those of all document windows by a shuffle.
 
 Null and empty texts have no words and are never hit; a null item id counts for hits but isn't listed;
 repeated documents are judged alike, each for itself; extra columns are ignored by ``contamination`` and
@@ -23,8 +23,10 @@ from pagesmith.cluster import cut_lineage
 from pagesmith.llm.common import clean, key_columns, whole_row
 
 SIZE = 10
-#: Hashes of benchmark windows looked up in one scan.
+#: Hashes of benchmark windows that travel with the plan; more are joined by a shuffle.
 ROUND = 100_000
+#: Sub-keys of each hash in that join.
+SALTS = 8
 #: Fixed value: the characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,18 +72,36 @@ def _found(rows: DataFrame, k: int, hashes: list[int]) -> DataFrame:
     return hit.select("_id", "_hash", "at", F.lit(k).alias("k"), "w")
 
 
+def _joined(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """As :func:`_found` for hashes of any number: those of all document windows are joined with them. The
+    windows of one very common hash are dealt over ``SALTS`` sub-keys, the benchmark's hashes are copied to each."""
+    lengths = sorted(r.k for r in keys.select("k").distinct().collect())  # at most as many as words in a window
+
+    def windows(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size("words") - k), lambda i: F.struct(
+            i.alias("at"), F.lit(k).alias("k"), F.xxhash64(_window("words", i, k)).alias("h")))
+
+    every = F.flatten(F.array_compact(F.array(*[F.when(F.size("words") >= k, windows(k)) for k in lengths])))
+    dealt = rows.select("_id", "_hash", F.inline_outer(every)).where("at IS NOT NULL")
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("_id", "_hash", "at"), F.lit(SALTS)).cast("int"))
+    copied = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = dealt.join(copied, ["k", "h", "salt"]).select("_id", "_hash", "at", "k")
+    text = F.coalesce(*[F.when(F.col("k") == k, _window("words", F.col("at"), k)) for k in lengths])
+    return met.join(rows, ["_id", "_hash"]).select("_id", "_hash", "at", "k", text.alias("w"))
+
+
 def hits(docs: DataFrame, windows: DataFrame, round_size: int = ROUND) -> DataFrame:
     """``_id, _hash, at, k, w``: where windows of the benchmark occur in the documents."""
-    keys = [(r.k, r.h) for r in windows.select("k", "h").distinct().orderBy("k", "h").toLocalIterator()]
+    keys = windows.select("k", "h").distinct()
     rows = docs.select(*key_columns(), words_of(F.col("text")).alias("words"))
-    scans = []
-    for i in range(0, len(keys), round_size):
-        part = keys[i : i + round_size]
-        for k in sorted({k for k, _ in part}):
-            scans.append(_found(rows, k, [h for n, h in part if n == k]))
-    if not scans:
-        return rows.where("false").select("_id", "_hash", F.lit(0).alias("at"), F.lit(0).alias("k"), F.lit("").alias("w"))
-    found = reduce(DataFrame.union, scans)
+    if keys.count() > round_size:
+        found = _joined(rows, keys)
+    else:
+        told = [(r.k, r.h) for r in keys.collect()]  # at most round_size
+        scans = [_found(rows, k, sorted(h for n, h in told if n == k)) for k in sorted({k for k, _ in told})]
+        if not scans:
+            return rows.where("false").select("_id", "_hash", F.lit(0).alias("at"), F.lit(0).alias("k"), F.lit("").alias("w"))
+        found = reduce(DataFrame.union, scans)
     sure = windows.select("k", "w").distinct()
     return found.select("_id", "_hash", "at", "k", "w").distinct().join(sure, ["k", "w"])
 
