@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pagesmith.llm.arc_warc import archive_round_trip
 from pagesmith.llm.decontaminate import contamination
 from pagesmith.llm.importance import resample
+from pagesmith.llm.languages import identify
 from pagesmith.llm.oracles import ORACLE  # noqa: F401  (registered together with the queries)
 from pagesmith.llm.packing import pack
 from pagesmith.llm.quality_rules import quality_scores
 from pagesmith.llm.simhash import simhash_components
 from pagesmith.llm.substrings import repeat_report
+from pagesmith.llm.target_sampling import target_sample
 from pagesmith.llm.token_files import token_round_trip
 from pagesmith.llm.trie_counts import token_counts
 from pagesmith.llm.url_filters import filter_urls
+from pagesmith.llm.whitening import whiten
 
 URL_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -68,6 +71,18 @@ def archives(spark, sf):
     return archive_round_trip(_table(spark, sf, "pages"))
 
 
+def whitened(spark, sf):
+    return whiten(_table(spark, sf, "embeddings"))
+
+
+def target_importance(spark, sf):
+    return target_sample(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def languages(spark, sf):
+    return identify(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": urls,
     "op2_decontamination": benchmark_leaks,
@@ -79,4 +94,7 @@ QUERIES = {
     "op8_simhash": near_duplicates,
     "op9_substring_dedup": repeated_passages,
     "op10_packing": packed,
+    "op11_whitening": whitened,
+    "op12_target_resampling": target_importance,
+    "op13_language_id": languages,
 }
