@@ -99,3 +99,11 @@ def dealt_by_file(rows: DataFrame, files: int, most: int = 20_000) -> DataFrame:
 def clean(id_value: Column) -> Column:
     """The id that a key stands for."""
     return F.when(id_value != F.lit(-(2**63)), id_value)
+
+
+def first_of_each(found: DataFrame) -> DataFrame:
+    """``_id, _hash`` of one row of each ``root``: the smallest id, and the smallest text hash that goes with it.
+    Plain minima, so that a component's rows collapse before they are shuffled."""
+    ids = found.groupBy("root", "_id").agg(F.min("_hash").alias("_hash"))
+    least = ids.groupBy("root").agg(F.min("_id").alias("_id"))
+    return ids.join(least, ["root", "_id"]).select("_id", "_hash")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from pagesmith.cluster import cut_lineage
-from pagesmith.llm.common import clean, key_columns, keyed, whole_row
+from pagesmith.llm.common import clean, first_of_each, key_columns, keyed, whole_row
 from pagesmith.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -187,7 +187,8 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """``_id, _hash, fp, component`` of every row; ``component`` is the smallest id reachable by links."""
+    """``_id, _hash, fp, root, component`` of every row. ``root`` names the component; ``component`` is the smallest id
+    reachable by links, which other components may hold, too, where ids repeat or are null."""
     prints = cut_lineage(fingerprints(docs, shingle, seed))
     distinct = prints.select("fp").distinct()
     roots = components(fingerprint_links(distinct, radius))
@@ -195,8 +196,8 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component")
-    return prints.join(named, "fp").select("_id", "_hash", "fp", "component")
+    named = rooted.select("fp", "root").join(smallest, "root")
+    return prints.join(named, "fp").select("_id", "_hash", "fp", "root", "component")
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
@@ -208,9 +209,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """The document with the smallest id of each component, all columns as they were; of rows that share
-    that id the one with the smallest text hash, of repeated rows one."""
-    found = near_components(docs, shingle, radius, seed)
-    first = found.groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("first")).select("first.*").distinct()
+    """One document of each component, all columns as they were: that with the smallest id, of rows that share
+    this id the one with the smallest text hash, of repeated rows one."""
+    first = first_of_each(near_components(docs, shingle, radius, seed))
     rows = docs.select(whole_row(docs), *key_columns())
     return rows.join(first, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select("_row.*")
