@@ -1,10 +1,13 @@
 """Token ids by the tokenizers library, quickly: each distinct stretch of text is encoded once.
 
-Texts of lines of words, a single space between two words, are taken apart at spaces and line ends; all
-others, and what stands between spaces, at single spaces or line ends between plain characters and
-between a letter and a mark of punctuation. The vocabularies used here never let a token cross such a
-place, so the ids of a text are the ids of its stretches put together; a test holds that against the
-library over all documents. Other vocabularies can be encoded whole (``by_stretch=False``)."""
+So the tokenizer is called once for a stretch that a worker meets again and again, which makes most of the
+speed. Texts of lines of words, a single space between two words, are taken apart at spaces and line ends;
+all others, and what stands between spaces, at single spaces or line ends between plain characters and
+between a letter and a mark of punctuation. Which letters those are is asked of the vocabulary's own
+normaliser and pre-tokenizer: only a letter that stays letters, and ends before each mark, is cut after.
+So the ids of a text are the ids of its stretches put together; tests hold that against the library over
+all documents, over every character of the basic plane beside each mark and space, and over random
+mixtures. Other vocabularies can be encoded whole (``by_stretch=False``)."""
 
 from __future__ import annotations
 
@@ -16,13 +19,32 @@ from itertools import chain
 import numpy as np
 
 #: Plain: neither white space nor controls.
-_CUT = re.compile(r"(?<=[!-~¡-˿Ͱ-῿])(?=[ \n][!-~¡-˿Ͱ-῿])|(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[,.!?;:])")
+_SPACE_CUT = r"(?<=[!-~¡-˿Ͱ-῿])(?=[ \n][!-~¡-˿Ͱ-῿])"
+#: Marks that may be cut off, and the characters they may be cut off from, where the vocabulary allows it.
+_MARKS, _BEFORE_MARKS = ",.!?;:", [chr(c) for c in range(0x41, 0x250)]
 #: Stretches kept at most (about 200 bytes each), and words encoded in one call.
 BOUND, CALL = 1_000_000, 4096
 #: In front of a text's first stretch, which has no space before it.
 _FIRST = "\x00"
 
 
+def cut_pattern(tokenizer) -> re.Pattern:
+    """Where texts may be taken apart with this vocabulary."""
+
+    def ends_before_marks(letter: str) -> bool:
+        plain = tokenizer.normalizer.normalize_str(letter) if tokenizer.normalizer else letter
+        if not (letter.isalpha() and plain.isalpha()):
+            return False
+        for before in ("", "x", "'", "1", " "):
+            text = before + plain
+            if not all(any(at[0] == len(text) for _, at in tokenizer.pre_tokenizer.pre_tokenize_str(text + m)) for m in _MARKS):
+                return False
+        return True
+
+    letters = "".join(filter(ends_before_marks, _BEFORE_MARKS)) if tokenizer.pre_tokenizer else ""
+    return re.compile(f"{_SPACE_CUT}|(?<=[{letters}])(?=[{_MARKS}])" if letters else _SPACE_CUT)
+
+
 class Encoder:
     """Encodes texts with one vocabulary file. Holds at most about ``bound`` stretches."""
 
@@ -33,6 +55,7 @@ class Encoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.word_ends = np.array([t.endswith("</w>") for t in tokens], bool)
         self.word_starts = np.array([t.startswith("Ġ") for t in tokens], bool)
+        self.cut = cut_pattern(self.tokenizer) if by_stretch else None
         self._empty()
 
     def _empty(self) -> None:
@@ -77,7 +100,7 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         """Pieces as they stand in ``places``: with the space or line end before them, or the mark of a first one."""
         words = {p for p in pieces if p[0] == " " and p[1:].isalpha()}
-        cut = {p: s for p in pieces - words if len(s := _CUT.split(p)) > 1}
+        cut = {p: s for p in pieces - words if len(s := self.cut.split(p)) > 1}
         fresh = {s for stretches in cut.values() for s in stretches}.difference(self.places) | (pieces - words - cut.keys())
         parts = {s for s in fresh if s[0] == " " and s[1:].isalpha()}
         self._words(list(words | parts))
@@ -94,7 +117,7 @@ class Encoder:
             return []
         spaced = text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
         if spaced or not text.replace("\n", "").isprintable():
-            first, *rest = _CUT.split(text)
+            first, *rest = self.cut.split(text)
             return [_FIRST + first, *rest]
         # the space goes with the word after it
         return (_FIRST + text).replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")

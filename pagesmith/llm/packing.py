@@ -181,9 +181,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = SIZE
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``sequence_id`` holds the partition's number and the window's number in it."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    key = pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else None
-    if key is None:
-        raise TypeError("doc_id must be a bigint")
-    return rows.mapInArrow(_run(tokenizer_path, end_id, size, key), (
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(_run(tokenizer_path, end_id, size, pa.int64()), (
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))

@@ -1,6 +1,7 @@
 """Token files and packing against the library's own encoding."""
 
 import io
+import random
 import zlib
 
 import numpy as np
@@ -163,3 +164,28 @@ def test_blocks_lose_nothing():
     assert sum(p[2] for p in got) == sum(map(len, docs)) and BLOCK > 5000
     for key, start, length, code, total, _, _ in got:
         assert code == crc(docs[key][start : start + length]) and total == len(docs[key])
+
+
+def unlike(path, texts):
+    """The texts whose ids aren't the library's."""
+    library = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    return [t for t, ids, want in zip(texts, Encoder(path).encode(texts), library, strict=True) if ids.tolist() != want.ids]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_every_character_beside_marks_and_spaces(path):
+    chars = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for form in ("GEZ{c}, ve{c}. {c}! x{c}? {c}; {c}:a", "{c} a{c}\n{c}b c", "a {c}, {c}{c}.\nb", "{c}"):
+        texts = [form.replace("{c}", c) for c in chars]
+        for i in range(0, len(texts), 16_384):
+            assert unlike(path, texts[i : i + 16_384]) == []
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_random_mixtures(path):
+    rng = random.Random(11)
+    odd = "İıŞŁßſǅÅ\u0307\u0301\u0130\u212aΣς中😀\u00a0\u200b'1٣_-\t"
+    parts = [*"aZéü", *odd, *",.!?;: \n", "GEZİ", "don't", "I'M", " the", "The ", "  ", "word", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(20_000)]
+    assert unlike(path, texts) == []
+    assert unlike(path, [" ".join(texts[:300]), "\n".join(texts[300:500])]) == []
