@@ -27,6 +27,19 @@ VOID_TAGS = ("img", "br", "hr", "input", "meta", "link", "source", "area", "base
 
 _ANY_TAG = r"[A-Za-z][A-Za-z0-9-]*"
 _TAG_END = r"[\s/>])"
+# An attribute as a parser reads it: a value in either quotes or without any. All loops are possessive, which
+# Java runs without recursion, so a page of any length is read in one pass and on a small stack.
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
+_GIVEN = r"(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+))"  # the same in three groups, one of which is set
+_ATTR = rf"[\s/]++[^\s/>=]++(?:\s*+=\s*+{_VALUE})?+"
+# What follows a start tag's name, up to and with its end; a quote that is never closed ends at the next ">".
+_TAG_REST = rf"(?:(?:{_ATTR})*+[\s/]*+>|[^>]*>)"
+_MARKUP = rf"<(?:/?{_ANY_TAG}(?=[\s/>]){_TAG_REST}|[A-Za-z/!?][^>]*>)"
+
+
+def _up_to(name: str) -> str:
+    """All attributes before the one of that name, and its name; the value follows."""
+    return rf"(?:[\s/]++(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+{_VALUE})?+)*+[\s/]++{name}\s*+=\s*+"
 # Fixed value: the elements that start a new block of text.
 _BLOCKS = (
     "p|div|article|section|main|nav|aside|ul|ol|dl|table|tbody|thead|form|figure|address|body|html"
@@ -61,9 +74,15 @@ def _replace_all(text: str, steps: list[tuple[str, str]]) -> str:
 def _sql_drop(html: str, *tags: str) -> str:
     names = "|".join(tags)
     opening = _lit(rf"(?i)<(?:{names})\b")
-    innermost = [(rf"(?is)<({names})\b[^>]*>(?:(?!<\1\b).)*?</\1\s*>", "")]
+    innermost = [(rf"(?is)<({names})\b{_TAG_REST}(?:(?!<\1\b).)*?</\1\s*>", "")]
     rounds = f"sequence(1, regexp_count(dr, {opening}))"
-    passes = f"aggregate({rounds}, dr, (dacc, dn) -> {_replace_all('dacc', innermost)})"
+    # a pass that removes nothing is the last one: what is still open is never closed
+    again = _let(
+        _replace_all("dacc.html", innermost), "dt",
+        "named_struct('html', dt, 'done', length(dt) = length(dacc.html))",
+    )
+    start = "named_struct('html', dr, 'done', false)"
+    passes = f"aggregate({rounds}, {start}, (dacc, dn) -> CASE WHEN dacc.done THEN dacc ELSE {again} END).html"
     return _let(
         _replace_all(html, innermost), "dr", f"CASE WHEN dr RLIKE {opening} THEN {passes} ELSE dr END"
     )
@@ -132,14 +151,15 @@ def _start_tag(tag: str | None, cls: str | None = None, attr: str | None = None,
     if cls:
         token = re.escape(cls)
         tests += (
-            rf"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\"]*\s)?{token}(?:\s[^\"]*)?\""
-            rf"|'(?:[^']*\s)?{token}(?:\s[^']*)?'))"
+            rf"(?={_up_to('class')}(?:\"(?:[^\"]*\s)?{token}(?:\s[^\"]*)?\""
+            rf"|'(?:[^']*\s)?{token}(?:\s[^']*)?'|{token}(?=[\s>])))"
         )
     if element_id:
-        tests += rf"(?=[^>]*\sid\s*=\s*[\"']{re.escape(element_id)}[\"'])"
+        own = re.escape(element_id)
+        tests += rf"(?={_up_to('id')}(?:\"{own}\"|'{own}'|{own}(?=[\s>])))"
     if attr:
-        tests += rf"(?=[^>]*\s{re.escape(attr)}\s*=\s*[\"'])"
-    return rf"(?is)<{name}(?=[\s/>]){tests}[^>]*>"
+        tests += rf"(?={_up_to(re.escape(attr))}{_VALUE})"
+    return rf"(?is)<{name}(?=[\s/>]){tests}{_TAG_REST}"
 
 
 def _sql_close(rest: str, tag: str) -> str:
@@ -230,10 +250,10 @@ def find_element(html: Column, tag: str | None = None, cls: str | None = None,
 
 
 def _sql_attribute(element: str, name: str) -> str:
-    opening = f"regexp_extract({element}, '^<[^>]*>', 0)"
-    quoted = _lit(rf"(?is)\s{re.escape(name)}\s*=\s*(\"[^\"]*\"|'[^']*')")
-    value = _sql_decode("substring(aq, 2, length(aq) - 2)")
-    found = f"regexp_extract({opening}, {quoted}, 1)"
+    given = _lit(rf"(?is)^<[^\s/>]++{_up_to(re.escape(name))}({_VALUE})")
+    quote = "if(aq RLIKE '^[\"\\']', 1, 0)"
+    value = _sql_decode(f"substring(aq, 1 + {quote}, length(aq) - 2 * {quote})")
+    found = f"regexp_extract({element}, {given}, 1)"
     return _let(found, "aq", f"CASE WHEN aq <> '' THEN {value} END")
 
 
@@ -243,7 +263,7 @@ def attribute(element: Column, name: str) -> Column:
 
 
 def _sql_text(element: str) -> str:
-    return _sql_decode(_replace_all(element, [("<[^>]*>", "")]))
+    return _sql_decode(_replace_all(element, [(_MARKUP, "")]))
 
 
 def text_content(element: Column) -> Column:
@@ -256,12 +276,16 @@ def closest_link(html: Column, cls: str) -> Column:
     start = _start_tag(None, cls)
 
     def body(v: str) -> str:
+        # the page in front of the element and the element's own tag; of all link tags in front the last one
+        # encloses the element if it opens a link
+        parts = f"split({v}, {_lit(start)}, 2)"
         itself = f"regexp_extract({v}, {_lit(start)}, 0)"
-        before = f"regexp_extract({v}, {_lit(f'(?is)^((?:(?!{start}).)*){start}')}, 1)"
-        around = f"regexp_extract({before}, {_lit(r'(?is)^.*(<a\s[^>]*>)(?!.*</a\s*>)')}, 1)"
-        is_link = f"{itself} RLIKE {_lit(r'(?i)^<a\s')}"
-        link = f"CASE WHEN {is_link} THEN {itself} ELSE {around} END"
-        return _let(link, "kl", f"CASE WHEN kl <> '' THEN {_sql_attribute('kl', 'href')} END")
+        tags = f"split(kp[0], {_lit(r'(?i)(?=</?a[\s>])')})"
+        around = f"get({tags}, size({tags}) - 1)"
+        link = f"CASE WHEN size(kp) < 2 THEN '' WHEN ks RLIKE {_lit(r'(?i)^<a\s')} THEN ks ELSE {around} END"
+        opens = f"kl RLIKE {_lit(r'(?i)^<a\s')}"
+        href = _let(link, "kl", f"CASE WHEN {opens} THEN {_sql_attribute('kl', 'href')} END")
+        return _let(parts, "kp", _let(itself, "ks", href))
 
     return bind(html, body)
 
@@ -277,11 +301,13 @@ def page_title(html: Column) -> Column:
 
 def links(html: Column) -> Column:
     """ARRAY<STRUCT<name, url>> of links with a non-empty href, in page order."""
-    tag = _lit(r"(?is)<a(?=\s)[^>]*?\shref\s*=\s*(?:\"[^\"]*\"|'[^']*')[^>]*>(?:(?!</?a[\s>]).)*")
+    tag = _lit(rf"(?is)^<a(?=\s){_up_to('href')}{_VALUE}")
     strip = lambda text: f"btrim({text}, {_lit(WHITESPACE)})"
 
     def body(v: str) -> str:
-        found = f"regexp_extract_all({_sql_inert(v)}, {tag}, 0)"
+        # a link's text ends where the next link tag begins
+        pieces = f"split({_sql_inert(v)}, {_lit(r'(?i)(?=</?a[\s>])')})"
+        found = f"filter({pieces}, lp -> lp RLIKE {tag})"
         name, url = strip(_sql_text("la")), strip(_sql_attribute("la", "href"))
         rows = f"transform({found}, la -> named_struct('name', {name}, 'url', {url}))"
         return f"filter({rows}, ll -> ll.url <> '')"
@@ -293,40 +319,52 @@ def links(html: Column) -> Column:
 
 
 def _sql_headings(text: str) -> str:
-    marked = _replace_all(text, [(r"(?i) ?<h([1-6])\b[^>]*> ?", "\n\n\x01$1")])
+    marked = _replace_all(text, [(rf"(?i) ?<h([1-6])(?=[\s/>]){_TAG_REST} ?", "\n\n\x01$1")])
     for level in range(1, 7):
         marked = f"replace({marked}, {_lit(chr(1) + str(level))}, {_lit('#' * level + ' ')})"
     return marked
 
 
 def _sql_ordered(text: str) -> str:
-    """Items of ordered lists get their number; other items are left for the bullet step."""
-    item = _lit(r"(?i) ?<li\b[^>]*> ?")
-    number = f"CASE WHEN oi = 0 THEN ox ELSE concat({_lit(chr(10) + '  ')}, oi, '. ', ox) END"
-    numbered = f"array_join(transform(split(op, {item}), (ox, oi) -> {number}), '')"
-    pieces = f"split({text}, {_lit(r'(?i)(?=<ol[ >])|(?<=</ol>)')})"
-    one = f"CASE WHEN op RLIKE {_lit(r'(?i)^<ol[ >]')} THEN {numbered} ELSE op END"
-    return f"array_join(transform({pieces}, op -> {one}), '')"
+    """Items of lists get their number or bullet and an indent by depth: a fold over the list tags with a stack of
+    the open lists, which holds each one's next number, 0 for a list without. Inner lists begin no new block."""
+    tag = rf"</?(?:ul|ol)(?=[\s/>]){_TAG_REST}|<li(?=[\s/>]){_TAG_REST}"
+    trimmed = _replace_all(text, [(rf"(?i) ?({tag}) ?", "$1")])
+    pieces = f"split({trimmed}, {_lit(r'(?i)(?=<(?:/?(?:ul|ol)|li)[\s/>])')})"
+    rest = _replace_all("ux", [(rf"(?i)^(?:{tag})", "")])
+    is_item, opens, closes = (f"ux RLIKE {_lit(p)}" for p in (r"(?i)^<li[\s/>]", r"(?i)^<[uo]l[\s/>]", r"(?i)^</[uo]l[\s/>]"))
+    depth, number = "size(uo.open)", "get(uo.open, 0)"
+    mark = f"CASE WHEN {number} > 0 THEN concat({number}, '. ') ELSE '* ' END"
+    item = f"concat({_lit(chr(10))}, repeat('  ', greatest({depth}, 1)), {mark}, {rest})"
+    inner = f"({opens} AND {depth} > 0 OR {closes} AND {depth} > 1)"
+    shown = f"CASE WHEN {is_item} THEN {item} WHEN {inner} THEN {rest} ELSE ux END"
+    outer = f"slice(uo.open, 2, greatest({depth} - 1, 0))"
+    after = (
+        f"CASE WHEN {opens} THEN concat(array(if(ux RLIKE {_lit('(?i)^<ol')}, 1, 0)), uo.open) WHEN {closes} THEN {outer} "
+        f"WHEN {is_item} AND {number} > 0 THEN concat(array({number} + 1), {outer}) ELSE uo.open END"
+    )
+    start = "named_struct('done', CAST(array() AS ARRAY<STRING>), 'open', CAST(array() AS ARRAY<INT>))"
+    step = f"named_struct('done', concat(uo.done, array({shown})), 'open', {after})"
+    return f"array_join(aggregate({pieces}, {start}, (uo, ux) -> {step}).done, '')"
 
 
-_RARE_TAGS = r"(?i)<(?:hr|em|i|code|img|td|th|tr|ol)\b"
+_RARE_TAGS = r"(?is)<(?:hr|em|i|code|img|td|th|tr|ol)\b|<ul[\s>](?:(?!</?ul[\s>]).)*+<ul[\s>]"
 _RARE_STEPS = [
     (r"(?i) ?<hr\b[^>]*> ?", "\n\n* * *\n\n"),
     (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "_"),
     (r"(?i)</?code(?:\s[^>]*)?>", "`"),
-    (r"(?i)<img\b[^>]*?\ssrc=\"([^\"]*)\"[^>]*?\salt=\"([^\"]*)\"[^>]*>", "![$2]($1)"),
-    (r"(?i)<img\b[^>]*?\salt=\"([^\"]*)\"[^>]*?\ssrc=\"([^\"]*)\"[^>]*>", "![$1]($2)"),
-    (r"(?i)<img\b[^>]*?\ssrc=\"([^\"]*)\"[^>]*>", "![]($1)"),
-    (r"(?i)</t[dh] ?> ?<t[dh]\b[^>]*>", " | "),
+    (rf"(?i)<img(?=\s)(?={_up_to('src')}{_GIVEN})(?={_up_to('alt')}{_GIVEN}){_TAG_REST}", "![$4$5$6]($1$2$3)"),
+    (rf"(?i)<img(?=\s){_up_to('src')}{_GIVEN}{_TAG_REST}", "![]($1$2$3)"),
+    (rf"(?i)</t[dh] ?> ?<t[dh](?=[\s/>]){_TAG_REST}", " | "),
     (r"(?i) ?</tr ?> ?", "\n"),
 ]
 _COMMON_STEPS = [
     (r"(?i) ?<br ?/?> ?", "  \n"),
-    (r"(?i) ?<li\b[^>]*> ?", "\n  * "),
-    (r"(?i)</?(?:b|strong)(?:\s[^>]*)?>", "**"),
-    (r"(?i)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a ?>", "[$2]($1)"),
-    (rf"(?i) ?</?(?:{_BLOCKS}|h[1-6])(?:\s[^>]*)?> ?", "\n\n"),
-    (r"<[^>]*>", ""),
+    (rf"(?i) ?<li(?=[\s/>]){_TAG_REST} ?", "\n  * "),
+    (rf"(?i)</?(?:b|strong)(?:(?=[\s/]){_TAG_REST}|>)", "**"),
+    (rf"(?i)<a(?=\s){_up_to('href')}{_GIVEN}{_TAG_REST}(.*?)</a ?>", "[$4]($1$2$3)"),
+    (rf"(?i) ?</?(?:{_BLOCKS}|h[1-6])(?=[\s/>]){_TAG_REST} ?", "\n\n"),
+    (_MARKUP, ""),
 ]
 
 
@@ -349,8 +387,8 @@ def to_text(html: Column) -> Column:
     """Page -> plain text: no link, emphasis or heading markup, one line per block."""
     steps = [
         (r"[ \t\r\n\f]+", " "),
-        (rf"(?i) ?</?(?:br|{_BLOCKS}|h[1-6]|li|tr|header|footer)(?:\s[^>]*)?/?> ?", "\n"),
-        (r"<[^>]*>", ""),
+        (rf"(?i) ?</?(?:br|{_BLOCKS}|h[1-6]|li|tr|header|footer)(?=[\s/>]){_TAG_REST} ?", "\n"),
+        (_MARKUP, ""),
     ]
 
     def body(v: str) -> str:
