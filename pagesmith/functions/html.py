@@ -40,6 +40,8 @@ _MARKUP = rf"<(?:/?{_ANY_TAG}(?=[\s/>]){_TAG_REST}|[A-Za-z/!?][^>]*>)"
 def _up_to(name: str) -> str:
     """All attributes before the one of that name, and its name; the value follows."""
     return rf"(?:[\s/]++(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+{_VALUE})?+)*+[\s/]++{name}\s*+=\s*+"
+
+
 # Fixed value: the elements that start a new block of text.
 _BLOCKS = (
     "p|div|article|section|main|nav|aside|ul|ol|dl|table|tbody|thead|form|figure|address|body|html"
