@@ -78,13 +78,15 @@ def answer_documents(spark, sf):
     return A.answer_prompts(index, _benchmark_questions(spark, sf))
 
 
-_ODD_TEXTS = """CASE doc_id % 4 WHEN 0 THEN '!? ...' WHEN 1 THEN concat('日本語 ', lang) WHEN 2 THEN concat('Über ', source)
-ELSE concat('a1 ', lang, ' ', source) END"""
+def _odd_texts(every: str = "") -> str:
+    """SQL: whole texts, a quarter of them without any word and half of them beginning with other scripts."""
+    return f"""CASE doc_id % 4 WHEN 0 THEN regexp_replace(text, '[\\p{{L}}\\p{{N}}]+', '+'{every}) WHEN 1 THEN '日本語 ' || text
+WHEN 2 THEN 'Über ' || text ELSE text END"""
 
 
 def index_all_texts(spark, sf):
     """Texts without an ASCII word, or without any word, stay in the index."""
-    docs = table(spark, sf, "documents").select("doc_id", F.expr(_ODD_TEXTS).alias("text"))
+    docs = table(spark, sf, "documents").select("doc_id", F.expr(_odd_texts().replace("\\", "\\\\")).alias("text"))
     used = F.size(F.filter("embedding", lambda x: x > 0))
     length = F.round(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x), 9)
     return A.index_documents(docs).select("doc_id", "chunk_idx", used.alias("n_dims"), length.alias("length"))
@@ -124,9 +126,10 @@ FROM x JOIN benchmark ON item_id = question_id"""
 
 ORACLE = {
     "index_all_texts": f"""
-WITH t AS (SELECT doc_id, {_ODD_TEXTS} AS text FROM documents), {_hashed_sql('v', 't', 'doc_id')}
-SELECT doc_id, 0 AS chunk_idx, count(dim) AS n_dims, CASE WHEN count(dim) > 0 THEN 1.0 ELSE 0.0 END AS length
-FROM t LEFT JOIN v ON k = doc_id GROUP BY doc_id""",
+WITH {_chunks_sql(10_000, 1_000, f"SELECT doc_id, {_odd_texts(", 'g'")} AS text FROM documents")},
+c AS (SELECT doc_id * 16777216 + chunk_idx AS vec_id, doc_id, chunk_idx, text FROM chunks), {_hashed_sql('v', 'c', 'vec_id')}
+SELECT doc_id, chunk_idx, count(dim) AS n_dims, CASE WHEN count(dim) > 0 THEN 1.0 ELSE 0.0 END AS length
+FROM c LEFT JOIN v ON k = vec_id GROUP BY doc_id, chunk_idx""",
     "concat_pages": """
 SELECT conv_id, turn // 256 AS part, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1, 2""",
     "embed_chunks": f"""
