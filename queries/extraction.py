@@ -124,12 +124,13 @@ def store_extraction(spark, sf):
 
 
 def asked_once(spark, sf):
-    """Replies of a provider that is asked each distinct prompt once; a third of them is stored already."""
-    prompts = L.build_prompts(table(spark, sf, "documents").select("doc_id", F.col("source").alias("text")), FIELDS).withColumn("model", F.lit(MODEL))
-    ask = lambda rows: V.rule_replies(rows, FIELDS, rule=lambda text, _: F.concat(F.lit("asked "), text))
+    """Replies of a provider that is asked each distinct prompt once: whole texts, copies among them. Those of three
+    sources, and their copies, are stored already."""
+    prompts = L.build_prompts(table(spark, sf, "documents").select("doc_id", "source", "text"), FIELDS).withColumn("model", F.lit(MODEL))
+    ask = lambda rows: V.rule_replies(rows, FIELDS, rule=lambda text, _: F.concat(F.lit("asked "), F.md5(text)))
     key = F.sha2(F.concat_ws(" ", "model", "prompt"), 256)
-    old = prompts.where(F.col("text").isin("src1", "src2", "src3")).withColumn("prompt_key", key)
-    stored = V.reply_table(V.rule_replies(old, FIELDS, rule=lambda text, _: F.concat(F.lit("stored "), text))).dropDuplicates(["prompt_key"])
+    old = prompts.where(F.col("source").isin("src1", "src2", "src3")).withColumn("prompt_key", key)
+    stored = V.reply_table(V.rule_replies(old, FIELDS, rule=lambda text, _: F.concat(F.lit("stored "), F.md5(text)))).dropDuplicates(["prompt_key"])
     return V.ask_once(prompts, ask, stored).select("doc_id", "reply", "input_tokens")
 
 
@@ -369,8 +370,9 @@ m AS (SELECT scrape_id, count(*) AS n FROM (SELECT DISTINCT scrape_id, title, hr
 SELECT md5('2024-01-02 03:04:05 ' || url || '#' || page_id) AS run_id, url, md5(html) AS raw_md5, '{MODEL}' AS model, input_tokens, coalesce(n, 0) AS n_listings
 FROM pages JOIN k ON k.scrape_id = page_id LEFT JOIN m ON m.scrape_id = page_id""",
     "asked_once": f"""
-SELECT doc_id, CASE WHEN source IN ('src1', 'src2', 'src3') THEN 'stored ' ELSE 'asked ' END || source AS reply,
-       CAST(ceil(length({_PROMPT_HEAD} || source) / 4.0) AS BIGINT) AS input_tokens FROM documents""",
+WITH known AS (SELECT DISTINCT text FROM documents WHERE source IN ('src1', 'src2', 'src3'))
+SELECT doc_id, CASE WHEN known.text IS NOT NULL THEN 'stored ' ELSE 'asked ' END || md5(d.text) AS reply,
+       CAST(ceil(length({_PROMPT_HEAD} || d.text) / 4.0) AS BIGINT) AS input_tokens FROM documents d LEFT JOIN known ON known.text = d.text""",
     "response_record": f"""
 WITH {_LINKS},
 j AS (SELECT scrape_id, string_agg('{{"title":"' || title || '","href":"' || href || '"}}', ',' ORDER BY pos) AS body FROM links GROUP BY 1),
