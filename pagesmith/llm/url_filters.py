@@ -8,8 +8,8 @@ one with the longer host, then ``block`` before ``allow``. Where none fits, the
 
 A null url, or one without ``://``, has an empty host and path and no rule; a null page id stays null;
 repeated rows are judged alike, each for itself; extra columns are ignored; an empty table of pages
-gives no rows, and with no rules all pages get the default. Rules without a host or path are
-refused. Only DataFrame functions run here."""
+gives no rows, and with no rules all pages get the default. Rules without a host, a path or
+a known verdict take no part; ``refused_rules`` returns them. Only DataFrame functions run here."""
 
 from __future__ import annotations
 
@@ -33,10 +33,18 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
+_GOOD = "coalesce(length(host) > 0 AND length(path) > 0 AND verdict IN ('allow', 'block'), false)"
+
+
+def refused_rules(rules: DataFrame) -> DataFrame:
+    """The rules that can't be used, all columns as they are: look at them before a long job."""
+    return rules.where(f"NOT {_GOOD}")
+
+
 def digests(rules: DataFrame) -> DataFrame:
     """``host, path, verdict`` rules with their digest and hash prefix, one row for each host and path."""
     host = F.translate(F.col("host"), UPPER, LOWER)
-    good = rules.where("length(host) > 0 AND length(path) > 0 AND verdict IN ('allow', 'block')")
+    good = rules.where(_GOOD)
     whole = good.select(host.alias("r_host"), F.col("path").alias("r_path"), "verdict")
     one = whole.groupBy("r_host", "r_path").agg(F.max("verdict").alias("r_verdict"))  # block before allow
     digest = F.sha2(F.concat("r_host", "r_path").cast("binary"), 256)

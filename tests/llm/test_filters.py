@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pagesmith.llm import decontaminate as D
 from pagesmith.llm.quality_rules import keep_good, quality_scores
 from pagesmith.llm.substrings import SuffixAutomaton, cut_text, remove_repeats, repeat_report
-from pagesmith.llm.url_filters import filter_urls
+from pagesmith.llm.url_filters import filter_urls, refused_rules
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
          ("A.net", "/es/x", "allow"), ("b.net", "/e", "block"), ("b.net", "/e", "allow"), ("", "/", "block"), (None, None, "block")]
@@ -165,3 +165,11 @@ def test_automaton_counts_occurrences(pieces):
     for words, _ in pieces:
         want = [max([i - j for j in range(i) if counts[tuple(words[j:i])] > 1], default=0) for i in range(1, len(words) + 1)]
         assert automaton.matches(words) == want
+
+
+def test_refused_rules(spark):
+    rows = [("a.com", "/", "allow"), ("", "/", "block"), (None, "/", "block"), ("a.com", "", "block"), ("a.com", None, "allow"),
+            ("a.com", "/x", "deny"), ("a.com", "/y", None), ("b.com", "/", "block")]
+    rules = spark.createDataFrame(rows, "host string, path string, verdict string")
+    assert sorted(map(str, map(tuple, refused_rules(rules).collect()))) == sorted(map(str, rows[1:-1]))
+    assert refused_rules(rules.limit(0)).collect() == []
