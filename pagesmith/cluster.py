@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +36,42 @@ def reach_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders of the tables written inside the innermost :func:`settled`.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table in the shared folder and go on from it.
 
     Later steps read back just the columns they need instead of repeating the work, and a lost
     executor repeats nothing either."""
     folder = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written; the tables that it wrote on the way are given up.
+
+    Only the result may be used afterwards: other frames that ``make`` built read tables that are gone.
+    They go when the result is complete, so a job that fails or is repeated finds them as long as it needs them."""
+    outer, ours = _passing.get(), []
+    token = _passing.set(ours)
+    try:
+        made = make()
+        _passing.set(outer)
+        kept = cut_lineage(made)
+    finally:
+        _passing.reset(token)
+    spark = kept.sparkSession
+    for folder in ours:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return kept
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Use all cores for heavy per-row work on a scan with fewer splits than cores (a few small
     files). Large inputs have many splits and pass through untouched, without a shuffle.

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagesmith.cluster import cut_lineage, salted_lookup
+from pagesmith.cluster import cut_lineage, salted_lookup, settled
 from pagesmith.functions.tokens import count_tokens, trim_to_tokens
 from pagesmith.functions import html as H
 from pagesmith.functions import replies
@@ -55,6 +55,25 @@ def test_salted_lookup_equals_plain_join(spark):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_settled_keeps_the_result_alone(spark):
+    before = cut_lineage(spark.range(5))
+    inner = []
+
+    def make():
+        inner.append(cut_lineage(before.where("id > 1")))
+        inner.append(settled(lambda: cut_lineage(inner[0].select((F.col("id") * 2).alias("id"))).where("id < 8")))
+        return inner[0].union(inner[1])
+
+    kept = settled(make)
+    assert rows(kept) == rows(kept) == [(2,), (3,), (4,), (4,), (6,)] and before.count() == 5
+    for gone in inner:
+        with pytest.raises(Exception, match="(?i)not.*exist"):
+            gone.count()
+    with pytest.raises(ValueError):
+        settled(lambda: (_ for _ in ()).throw(ValueError()))
+    assert cut_lineage(before).count() == 5
+
+
 def test_consecutive_numbers(spark):
     ids = random.Random(1).sample(range(10_000), 500)
     df = spark.createDataFrame([(i,) for i in ids], "k int").repartition(6)
