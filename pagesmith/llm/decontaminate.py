@@ -136,7 +136,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, round_size: int = ROUND) -> DataFrame:
     """The documents without any hit, all columns as they were."""
-    found = hits(docs, item_windows(benchmark, size), round_size).select("_id", "_hash").distinct()
+    windows = cut_lineage(item_windows(benchmark, size))
+    found = hits(docs, windows, round_size).select("_id", "_hash").distinct()
     rows = docs.select(whole_row(docs), *key_columns())
     return rows.join(found, ["_id", "_hash"], "left_anti").select("_row.*")
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from pagesmith.cluster import cut_lineage
+from pagesmith.cluster import cut_lineage, settled
 from pagesmith.llm.common import Numbers, Rows, clean, key_columns, keyed, mix, rows_of
 
 WINDOW, GRAM = 35, 8
@@ -256,12 +256,20 @@ def _matched(window: int, shard_words: int):
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS,
                    hot_pieces: int = HOT_PIECES) -> DataFrame:
     """``_id, _hash, spans``: for each document with repeated windows, the words to remove (from, up to)."""
-    texts = keyed(docs)
+    return settled(lambda: _spans(keyed(docs), window, gram, shard_words, hot_pieces))
+
+
+def _shared(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """The pieces whose anchor occurs more than once."""
     anchors = cut_lineage(texts.mapInArrow(
         _anchors(window, gram), "_id long, _hash long, first int, n int, anchor long, digest long"))
     # written, so that both sides of the join come straight from a shuffle and a hot anchor can be split
     often = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"))
-    shared = cut_lineage(anchors.join(often, "anchor"))
+    return anchors.join(often, "anchor")
+
+
+def _spans(texts: DataFrame, window: int, gram: int, shard_words: int, hot_pieces: int) -> DataFrame:
+    shared = settled(lambda: _shared(texts, window, gram))
     pieces = shared.groupBy("anchor", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("_id", "_hash", "first", "n")).alias("at"))
     hot = pieces.groupBy("anchor").count().where(F.col("count") > hot_pieces).select("anchor", F.lit(True).alias("hot"))
