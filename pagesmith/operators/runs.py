@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .batches import clean_batches, compact_batches, read_table, remove_batch, snapshot, store_batch
+
 TABLES = ("scrape_metadata", "listings", "token_costs")
+SORT_KEYS = {"scrape_metadata": "id", "listings": "scrape_id", "token_costs": "scrape_id"}
 
 
 def run_id(url: Column, started_at: Column) -> Column:
@@ -27,32 +29,34 @@ def listing_records(merged: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def store_runs(folder: str, batch_id: str, metadata: DataFrame, listings: DataFrame,
                token_costs: DataFrame) -> None:
-    """Write a batch to its own folder in each table below ``folder``, partitioned by ``run_date``.
+    """Store a batch of runs in three tables below ``folder``, partitioned by ``run_date``.
 
     Other batches are never touched, also not those of the same day; a batch that is repeated, even
-    with fewer rows, replaces just itself. The rows of a date are dealt by what they hold over as many
-    tasks as their bytes need (a huge date or run is split, small dates share a task) and sorted by
-    run, so the lookup of a run skips most row groups.
-
-    Children are written first: a run becomes visible with its metadata row, when everything that
-    belongs to it is already there."""
-    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
-        raise ValueError("a batch id has letters, digits, '.', '_' and '-' only")
-    batch = {"listings": listings, "token_costs": token_costs, "scrape_metadata": metadata}
-    for name, rows in batch.items():
-        run = "id" if name == "scrape_metadata" else "scrape_id"
-        (
-            rows.hint("rebalance", "run_date")
-            .sortWithinPartitions("run_date", run)
-            .write.mode("overwrite")
-            .partitionBy("run_date")
-            .parquet(f"{folder}/{name}/batch_id={batch_id}")
-        )
+    with fewer rows, replaces just itself. All three tables of a batch become visible at once: a job
+    that fails or is killed on the way leaves everything as it was."""
+    batch = dict(zip(TABLES, (metadata, listings, token_costs), strict=True))
+    store_batch(metadata.sparkSession, folder, batch_id, batch, SORT_KEYS)
 
 
 def read_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(metadata, listings, token_costs) of a folder written by :func:`store_runs`."""
-    return tuple(spark.read.parquet(f"{folder}/{name}").drop("batch_id") for name in TABLES)
+    """(metadata, listings, token_costs) of the batches stored by :func:`store_runs`, all of one moment."""
+    seen = snapshot(spark, folder)
+    return tuple(read_table(spark, seen, name).drop("batch_id") for name in TABLES)
+
+
+def remove_runs(spark: SparkSession, folder: str, batch_id: str) -> None:
+    """The batch is not seen any more."""
+    remove_batch(spark, folder, batch_id)
+
+
+def compact_runs(spark: SparkSession, folder: str, small_bytes: int = 128 << 20) -> int:
+    """Bring small batches together, so that the number of files follows the days, not the batches."""
+    return compact_batches(spark, folder, SORT_KEYS, small_bytes)
+
+
+def clean_runs(spark: SparkSession, folder: str, older_than: float = 86_400) -> int:
+    """Remove files that no batch needs, older than so many seconds."""
+    return clean_batches(spark, folder, list(TABLES), older_than)
 
 
 def orphans(children: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -37,9 +37,15 @@ def embedding(text: str | Column, dims: int = 64) -> Column:
     words = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     code = lambda w: F.conv(F.substring(F.md5(w), 1, 3), 16, 10).cast("int") % dims
     every = F.sequence(F.lit(0), F.lit(dims - 1))
-    # a place in the sorted codes, found from both ends, would need more passes than counting
-    counted = F.transform(F.array(F.transform(words, code)), lambda codes: F.transform(
-        every, lambda d: F.size(F.filter(codes, lambda c: c == d)).cast("double")))
+    # one pass over the sorted codes finds where each run of equal ones ends; counts are what lies between
+    codes = F.transform(F.array(F.sort_array(F.transform(words, code))), lambda s: F.struct(s.alias("s"), F.when(
+        F.size(s) > 0, F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: F.coalesce(F.get(s, i - 1) != F.get(s, i), F.lit(True)))
+    ).otherwise(F.array().cast("array<int>")).alias("ends")))
+    runs = F.transform(codes, lambda c: F.map_from_arrays(
+        F.transform(c["ends"], lambda e: F.get(c["s"], e - 1)),
+        F.transform(c["ends"], lambda e, j: e - F.coalesce(F.get(c["ends"], j - 1), F.lit(0)))))
+    counted = F.transform(runs, lambda m: F.transform(
+        every, lambda d: F.coalesce(F.try_element_at(m, d), F.lit(0)).cast("double")))
     unit = F.transform(counted, lambda n: F.transform(F.array(F.sqrt(F.aggregate(
         n, F.lit(0.0), lambda total, x: total + x * x))), lambda length: F.transform(
             n, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0)))))
