@@ -36,6 +36,15 @@ def reach_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m") -> SparkSession:
+    """Bound the Arrow batches that go to Python workers and come back by bytes, too, not by rows alone:
+    ten thousand long texts or whole sets are most of a worker's memory. The session's own setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, size)
+    return spark
+
+
 #: Folders of the tables written inside the innermost :func:`settled`.
 _passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 

@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagesmith.cluster import cut_lineage, salted_lookup, settled
+from pagesmith.cluster import bounded_batches, cut_lineage, salted_lookup, settled
 from pagesmith.functions.tokens import count_tokens, trim_to_tokens
 from pagesmith.functions import html as H
 from pagesmith.functions import replies
@@ -298,3 +299,20 @@ def test_texts_without_words_have_zero_vectors(spark):
     df = spark.createDataFrame([(1, "!?"), (2, None), (3, "über ÜBER"), (4, "日本")], "id long, text string")
     got = {r.id: r.embedding for r in vectors.embedded(df, "id").collect()}
     assert not any(got[1]) and not any(got[2]) and max(got[3]) == max(got[4]) == 1.0
+
+
+def test_bounded_batches_keep_the_sessions_own_setting(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, "3m")
+        bounded_batches(spark)
+        assert spark.conf.get(name) == "3m"
+        spark.conf.unset(name)
+        bounded_batches(spark, "1k")
+        assert spark.conf.get(name) == "1k"
+        sizes = spark.range(3000, numPartitions=1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [len(b)]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == 3000 and max(r.n for r in sizes) < 1000
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
