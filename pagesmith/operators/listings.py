@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..cluster import explode_array
+from ..cluster import bounded_batches, explode_array
 from ..functions import replies as R
 from ..functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE, chunk_text
 
 
 def chunk_rows(texts: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """One row per chunk of the ``text`` column; the other columns are kept."""
+    """One row per chunk of the ``text`` column; the other columns are kept. Long texts go to Python in
+    batches bounded by bytes, too: ten thousand of them are most of a worker's memory."""
+    bounded_batches(texts.sparkSession)
     others = [c for c in texts.columns if c != "text"]
     cut = texts.withColumn("_chunks", chunk_text(F.col("text"), size, overlap))
     rows = explode_array(cut, others, F.col("_chunks"), "_chunk", "_at")

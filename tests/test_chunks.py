@@ -75,3 +75,20 @@ def test_edge_cases(spark):
     df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
     got = [[c["text"] for c in r[0]] for r in df.select(chunk_text(F.col("t"), 5, 0)).collect()]
     assert got == [["short", "text"], cases[1][1], [], []]
+
+
+def test_chunk_rows_bounds_python_batches_by_bytes(spark):
+    """Long texts reach the splitter in Arrow batches bounded by bytes, not by ten thousand rows alone."""
+    from pagesmith.operators.listings import chunk_rows
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        text = ("word " * 300 + "\n") * 40
+        docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+        got = chunk_rows(docs, 500, 50).where("doc_id = 0").orderBy("chunk_idx").select("text").collect()
+        assert spark.conf.get(name, None) == "8m"
+        assert [r.text for r in got] == split_text(text, 500, 50)
+    finally:
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
