@@ -42,13 +42,15 @@ def chunk_text_small(spark, sf):
 def chunk_invariants(spark, sf):
     """Per text: every chunk within size, part of the text, in order, and no visible character lost."""
     docs = _documents(spark, sf)
-    chunks = L.chunk_rows(docs.withColumn("whole", F.col("text")), 500, 50)
     blank = lambda c: F.regexp_replace(c, r"\s+", "")
+    # the whole text's visible characters are counted once per text, not once per chunk
+    whole = docs.withColumns({"whole": F.col("text"), "whole_visible": F.length(blank(F.col("text")))})
+    chunks = L.chunk_rows(whole, 500, 50)
     at = F.instr(F.col("whole"), F.col("text"))
     per_doc = chunks.groupBy("doc_id").agg(
         (F.max(F.length("text")) <= 500).cast("int").alias("within_size"),
         F.min((at > 0).cast("int")).alias("in_text"),
-        (F.sum(F.length(blank(F.col("text")))) >= F.max(F.length(blank(F.col("whole"))))).cast("int").alias("complete"),
+        (F.sum(F.length(blank(F.col("text")))) >= F.max("whole_visible")).cast("int").alias("complete"),
         (F.max("chunk_idx") + 1 == F.count(F.lit(1))).cast("int").alias("numbered"),
     )
     return docs.select("doc_id").join(per_doc, "doc_id", "left")
