@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +107,35 @@ def write_by_key(rows: DataFrame, folder: str, key: str, fmt: str = "csv", files
         writer.format(fmt).save(folder)
 
 
+def _text_files(folder: str):
+    """Writes each row's text and a line end as a file of its own, named by task and place."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, base = fs.FileSystem.from_uri(folder)
+        part, attempt, written = TaskContext.get().partitionId(), uuid.uuid4().hex, 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                name = f"part-{part:05d}-{written:09d}.txt"
+                # a file is seen whole or not at all: hidden names are skipped by readers
+                hidden = f"{base}/.{name}.{attempt}"
+                with place.open_output_stream(hidden) as out:
+                    out.write(b"\n" if text is None else text.encode() + b"\n")
+                place.move(hidden, f"{base}/{name}")
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["files"])
+
+    return run
+
+
 def write_texts(texts: DataFrame, folder: str) -> None:
-    """One text file per row of the ``text`` column."""
-    texts.select("text").write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
+    """One text file per row of the ``text`` column: the text (none if null) and a line end, like the
+    text writer of Spark with one record a file, but without its commit of every file.
+
+    Rows are dealt by their text and sorted in each task, so a repeated task writes the same files under
+    the same names again; the folder is emptied first."""
+    place, base = fs.FileSystem.from_uri(folder)
+    place.create_dir(base, recursive=True)
+    place.delete_dir_contents(base)
+    text = F.col("text")
+    rows = texts.select(text).repartition(F.xxhash64(text)).sortWithinPartitions(F.xxhash64(text), text)
+    rows.mapInArrow(_text_files(folder), "files long").agg(F.sum("files")).collect()
